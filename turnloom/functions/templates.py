@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from turnloom.functions.folds import fold_list
 from turnloom.functions.text import after_last, before_first, strip
 
 # The marker texts of the formats.
@@ -117,26 +118,19 @@ def _tagged(eos: str) -> Callable[[Column, Column | None], Column]:
 
 def _folded(eos: str) -> Callable[[Column, Column | None], Column]:
     def body(messages: Column, carry: Column | None = None) -> Column:
-        waiting = F.lit("") if carry is None else F.coalesce(carry, F.lit(""))
-        start = F.struct(
-            F.array().cast("array<string>").alias("parts"), waiting.alias("waiting")
-        )
-
-        def step(acc: Column, m: Column) -> Column:
-            part = (
+        def part(waiting: Column, m: Column) -> Column:
+            return (
                 F.when(
                     m["role"] == "user",
-                    F.concat(F.lit(INST_OPEN), acc["waiting"], m["content"], F.lit(INST_CLOSE)),
+                    F.concat(F.lit(INST_OPEN), waiting, m["content"], F.lit(INST_CLOSE)),
                 )
                 .when(m["role"] == "assistant", F.concat(m["content"], F.lit(eos)))
                 .otherwise(F.lit(""))
             )
-            return F.struct(
-                F.array_append(acc["parts"], part).alias("parts"),
-                _waiting_after(acc["waiting"], m).alias("waiting"),
-            )
 
-        joined = F.aggregate(messages, start, step, lambda acc: F.array_join(acc["parts"], ""))
+        waiting = F.lit("") if carry is None else F.coalesce(carry, F.lit(""))
+        parts = fold_list(messages, waiting, part, _waiting_after, "string")
+        joined = F.array_join(parts, "")
         return _unless_missing(messages, _no_printed_content, joined)
 
     return body

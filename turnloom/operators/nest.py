@@ -3,30 +3,42 @@
 The nested shape puts a conversation into one cell, so one task has to hold it. That is
 right for ordinary chats, and wrong when a single ``conv_id`` holds a large share of the
 table. Conversations longer than ``max_turns`` are therefore found first (a count over
-the key column alone) and split into consecutive rows of ``max_turns`` messages; the
-column ``first_pos`` says where each row begins. ``max_turns`` is even, so the
-user/assistant pair at positions (2k, 2k+1) never crosses a row boundary.
+the key column alone) and kept as consecutive rows of ``max_turns`` messages; the column
+``first_pos`` says where each row begins. ``max_turns`` is even, so the user/assistant
+pair at positions (2k, 2k+1) never crosses a row boundary.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from turnloom.operators.rank import range_rank
 from turnloom.schemas import TURNS, check_columns
+from turnloom.session import shared_dir
 
-MAX_TURNS = 4096
+MAX_TURNS = 1024
+# A list of long conversations is broadcast only if counting shows at most this many.
+BROADCAST_ROWS = 100_000
+SIDES = ("chosen", "rejected")
 
 
 @dataclass(frozen=True)
 class Nested:
-    """A nested table, and whether any conversation was split over several rows."""
+    """Conversations as rows: ``whole`` ones, and long ones as ``parts`` (if any)."""
 
-    df: DataFrame
-    split: bool = False
+    whole: DataFrame
+    parts: DataFrame | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        """All rows, for operators that look at one row at a time."""
+        return self.whole if self.parts is None else self.whole.unionByName(self.parts)
+
+    def map(self, fn: Callable[[DataFrame], DataFrame]) -> Nested:
+        return Nested(fn(self.whole), None if self.parts is None else fn(self.parts))
 
 
 def from_rows(df: DataFrame) -> Nested:
@@ -34,30 +46,32 @@ def from_rows(df: DataFrame) -> Nested:
     return Nested(df.withColumn("first_pos", F.lit(0).cast("bigint")))
 
 
-def long_conversations(rows: DataFrame, group: Sequence[str], max_turns: int) -> DataFrame:
-    """Groups with more than ``max_turns`` rows: at most rows / max_turns of them."""
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
-    return sizes.filter(F.col("_n") > max_turns).select(*group)
-
-
-def _with_first_pos(
-    rows: DataFrame, group: Sequence[str], max_turns: int, probe: DataFrame
-) -> tuple[DataFrame, bool]:
+def _long_keys(probe: DataFrame, key: str, max_turns: int) -> tuple[DataFrame, bool] | None:
+    """Keys with more than ``max_turns`` rows, and whether they are few; None if none."""
     if max_turns < 2 or max_turns % 2:
         raise ValueError("max_turns must be even and at least 2")
-    zero = F.lit(0).cast("bigint")
-    too_long = long_conversations(probe, [g for g in group if g in probe.columns], max_turns)
-    if too_long.isEmpty():
-        return rows.withColumn("first_pos", zero), False
-    shared = too_long.columns
-    short = rows.join(too_long, shared, "left_anti").withColumn("first_pos", zero)
-    ranked = range_rank(
-        rows.join(too_long, shared, "left_semi"), [*group, "turn", "role", "content"]
-    )
+    sizes = probe.groupBy(key).agg(F.count("*").alias("_n"))
+    long = sizes.filter(F.col("_n") > max_turns).select(key)
+    if long.isEmpty():
+        return None
+    shared_dir(probe.sparkSession)
+    long = long.checkpoint()
+    return long, long.count() <= BROADCAST_ROWS
+
+
+def _small(df: DataFrame, few: bool) -> DataFrame:
+    """Broadcast a table with a few rows per long key, if those were counted as few."""
+    return F.broadcast(df) if few else df
+
+
+def _in_parts(rows: DataFrame, group: Sequence[str], max_turns: int, few: bool) -> DataFrame:
+    """Add ``first_pos`` to the turns of long conversations, whose positions are ranks
+    in a range-partitioned order: no task sees a whole conversation."""
+    ranked = range_rank(rows, [*group, "turn", "role", "content"])
     starts = ranked.groupBy(*group).agg(F.min("rank").alias("_start"))
     pos = F.col("rank") - F.col("_start")
-    long = ranked.join(starts, list(group)).withColumn("first_pos", pos - pos % max_turns)
-    return short.unionByName(long.select(*short.columns)), True
+    placed = ranked.join(_small(starts, few), list(group))
+    return placed.withColumn("first_pos", pos - pos % max_turns).drop("rank", "_start")
 
 
 def _in_turn_order(keep: Column | None = None) -> Column:
@@ -69,6 +83,31 @@ def _in_turn_order(keep: Column | None = None) -> Column:
     )
 
 
+def _gather(
+    turns: DataFrame,
+    key: str,
+    group: Sequence[str],
+    aggs: Sequence[Column],
+    max_turns: int,
+    probe: DataFrame | None,
+    totals: Sequence[Column] = (),
+) -> Nested:
+    """Aggregate per conversation, or per part of a long one; ``totals`` are taken over
+    the whole of a long conversation and added to each of its parts."""
+    check_columns(turns, _without_key(key))
+    found = _long_keys(turns if probe is None else probe, key, max_turns)
+    short = turns if found is None else turns.join(_small(*found), key, "left_anti")
+    whole = short.groupBy(key).agg(F.lit(0).cast("bigint").alias("first_pos"), *aggs)
+    if found is None:
+        return Nested(whole)
+    long, few = found
+    placed = _in_parts(turns.join(_small(long, few), key, "left_semi"), group, max_turns, few)
+    parts = placed.groupBy(key, "first_pos").agg(*aggs)
+    if totals:
+        parts = parts.join(_small(placed.groupBy(key).agg(*totals), few), key)
+    return Nested(whole, parts)
+
+
 def nest_turns(
     turns: DataFrame,
     key: str = "conv_id",
@@ -77,13 +116,11 @@ def nest_turns(
 ) -> Nested:
     """``turns`` to ``(key, first_pos, messages)`` with one shuffle.
 
-    ``probe`` may name a cheaper table with the same rows per key, used to look for long
-    conversations when ``turns`` itself is costly to compute.
+    ``probe`` may name a cheaper table with at least as many rows per key, used to look
+    for long conversations when ``turns`` itself is costly to compute.
     """
-    rows, split = _with_first_pos(
-        check_columns(turns, _without_key(key)), [key], max_turns, turns if probe is None else probe
-    )
-    return Nested(rows.groupBy(key, "first_pos").agg(_in_turn_order().alias("messages")), split)
+    messages = _in_turn_order().alias("messages")
+    return _gather(turns, key, [key], [messages], max_turns, probe)
 
 
 def nest_preferences(
@@ -97,30 +134,22 @@ def nest_preferences(
 
     Both message lists are gathered in the same aggregation. Columns in ``keep`` are
     constant per conversation. ``n_chosen`` and ``n_rejected`` count the turns of the
-    whole conversation, also where it was split.
+    whole conversation, also where the row is a part of it.
     """
-    rows, split = _with_first_pos(
-        check_columns(turns, _without_key(key)),
-        [key, "side"],
-        max_turns,
-        turns if probe is None else probe,
-    )
-    on_side = {s: F.col("side") == s for s in ("chosen", "rejected")}
-    nested = rows.groupBy(key, "first_pos").agg(
-        *[F.first(c).alias(c) for c in keep],
-        *[_in_turn_order(test).alias(s) for s, test in on_side.items()],
-    )
-    nested = nested.withColumns({f"n_{s}": F.size(s).cast("bigint") for s in on_side})
-    if split:
-        sizes = nested.groupBy(key).agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in on_side])
-        nested = nested.drop(*[f"n_{s}" for s in on_side]).join(sizes, key)
-    return Nested(nested, split)
+    aggs = [F.first(c).alias(c) for c in keep]
+    aggs += [_in_turn_order(F.col("side") == s).alias(s) for s in SIDES]
+    totals = [F.count_if(F.col("side") == s).alias(f"n_{s}") for s in SIDES]
+    nested = _gather(turns, key, [key, "side"], aggs, max_turns, probe, totals)
+    return Nested(_sized(nested.whole), nested.parts)
 
 
 def preference_rows(df: DataFrame) -> Nested:
     """Preference rows that are already nested, in the same shape as above."""
-    sizes = {f"n_{s}": F.coalesce(F.size(s), F.lit(0)).cast("bigint") for s in ("chosen", "rejected")}
-    return Nested(from_rows(df).df.withColumns(sizes))
+    return from_rows(df).map(_sized)
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    return df.withColumns({f"n_{s}": F.coalesce(F.size(s), F.lit(0)).cast("bigint") for s in SIDES})
 
 
 def _without_key(key: str) -> T.StructType:

@@ -10,13 +10,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnloom.functions.templates import Template, recover_prompt
 from turnloom.functions.text import strip
-from turnloom.operators.nest import Nested
+from turnloom.operators.nest import SIDES, Nested
 from turnloom.operators.rank import range_rank
 from turnloom.operators.select import drop_empty
 from turnloom.schemas import message
 
-SIDES = ("chosen", "rejected")
-
 
 def validity(n_chosen: Column, n_rejected: Column) -> Column:
     """``ok``, ``empty`` (one side has no turns) or ``length_mismatch``."""
@@ -28,7 +26,7 @@ def validity(n_chosen: Column, n_rejected: Column) -> Column:
 
 
 def with_status(nested: Nested) -> DataFrame:
-    return nested.df.withColumn("status", validity(F.col("n_chosen"), F.col("n_rejected")))
+    return nested.rows.withColumn("status", validity(F.col("n_chosen"), F.col("n_rejected")))
 
 
 def pair_validity(nested: Nested) -> DataFrame:
@@ -52,7 +50,7 @@ def role_aligned(nested: Nested) -> DataFrame:
         F.zip_with("chosen", "rejected", lambda c, r: c["role"].eqNullSafe(r["role"])), lambda x: x
     )
     rows = with_status(nested).select("conv_id", ((F.col("status") == "ok") & same).alias("aligned"))
-    if not nested.split:
+    if nested.parts is None:
         return rows
     return rows.groupBy("conv_id").agg(F.bool_and("aligned").alias("aligned"))
 
@@ -103,7 +101,7 @@ def pair_candidates(nested: Nested, skip_leading_system: bool = False) -> DataFr
 
     ``pair_idx`` is the position of the user message in the conversation.
     """
-    if skip_leading_system and nested.split:
+    if skip_leading_system and nested.parts is not None:
         raise ValueError("skip_leading_system needs unsplit conversations: raise max_turns")
     return (
         with_status(nested)

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from turnloom.session import shared_dir
+from turnloom.session import fresh_path
 
 HEX_DIGITS = 4  # 16 ** 4 = 65,536 buckets
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -26,17 +26,18 @@ def range_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataF
     """Add the 0-based position of each row in ascending ``order``.
 
     The sampled range bounds must be the same for the partition sizes and for the rows,
-    so the sorted rows are checkpointed. Pass a narrow table (keys, not texts).
+    so the sorted rows are written to the shared folder first. The table is columnar:
+    the sizes are then read from the row numbers alone.
     """
-    shared_dir(df.sparkSession)
     row_id, part, size, before = "_row_id", "_part", "_size", "_before"
-    placed = (
+    path = fresh_path(df.sparkSession, "rank")
+    (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(row_id, F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn(part, F.shiftright(row_id, _ROW_BITS))
+        .write.parquet(path)
     )
+    placed = df.sparkSession.read.parquet(path).withColumn(part, F.shiftright(row_id, _ROW_BITS))
     sizes = placed.groupBy(part).agg(F.count("*").alias(size))
     # One row per partition of the exchange: a window over it and a broadcast of it are
     # bounded by the partition count, not by the data.

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from turnloom.functions.folds import fold_list
 from turnloom.functions.templates import Template
 from turnloom.functions.text import count_tokens, first_tokens
 from turnloom.operators.nest import Nested
@@ -75,8 +76,7 @@ def completion_spans(nested: Nested, template: Template) -> DataFrame:
     if template.around_content is None:
         raise ValueError(f"{template.name} does not print messages in a fixed frame")
     header_chars, footer_chars = template.around_content
-    df = nested.df.filter(template.body(F.col("messages"), None).isNotNull())
-    sized = F.transform(
+    lengths = F.transform(
         "messages",
         lambda m, i: F.struct(
             (F.col("first_pos") + i).alias("turn"),
@@ -85,31 +85,42 @@ def completion_spans(nested: Nested, template: Template) -> DataFrame:
             F.length(m["content"]).cast("bigint").alias("body"),
         ),
     )
-    df = df.select("conv_id", "first_pos", sized.alias("sized"))
-    row_chars = F.aggregate(
-        "sized", F.lit(0).cast("bigint"), lambda a, m: a + m["lead"] + m["body"] + footer_chars
+    printed = template.body(F.col("messages"), None).isNotNull()
+    sized = nested.map(
+        lambda df: df.select("conv_id", "first_pos", printed.alias("_ok"), lengths.alias("sized"))
     )
-    if nested.split:
-        before = W.partitionBy("conv_id").orderBy("first_pos")
-        lengths = df.select("conv_id", "first_pos", row_chars.alias("_chars"))
-        bases = lengths.select(
-            "conv_id", "first_pos", (F.sum("_chars").over(before) - F.col("_chars")).alias("_base")
-        )
-        df = df.join(bases, ["conv_id", "first_pos"])
-    else:
-        df = df.withColumn("_base", F.lit(0).cast("bigint"))
-    span = "array<struct<turn:bigint,start_pos:bigint,end_pos:bigint>>"
-    start = F.struct(F.col("_base").alias("at"), F.array().cast(span).alias("spans"))
-
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + m["lead"]
-        end = begin + m["body"]
-        found = F.struct(m["turn"].alias("turn"), begin.alias("start_pos"), end.alias("end_pos"))
-        return F.struct(
-            (end + footer_chars).alias("at"),
-            F.when(m["role"] == "assistant", F.array_append(acc["spans"], found))
-            .otherwise(acc["spans"])
-            .alias("spans"),
+    df = sized.whole.withColumn("_base", F.lit(0).cast("bigint"))
+    if sized.parts is not None:
+        df = df.unionByName(_with_base(sized.parts, footer_chars))
+    df = df.filter("_ok")
+    span = "struct<turn:bigint,start_pos:bigint,end_pos:bigint>"
+
+    def place(at: Column, m: Column) -> Column:
+        begin = at + m["lead"]
+        found = F.struct(
+            m["turn"].alias("turn"), begin.alias("start_pos"), (begin + m["body"]).alias("end_pos")
         )
+        return F.when(m["role"] == "assistant", found)
+
+    def advance(at: Column, m: Column) -> Column:
+        return at + m["lead"] + m["body"] + footer_chars
+
+    found = fold_list(F.col("sized"), F.col("_base"), place, advance, span)
+    return df.select("conv_id", F.inline(F.filter(found, lambda x: x.isNotNull())))
 
-    return df.select("conv_id", F.inline(F.aggregate("sized", start, step, lambda a: a["spans"])))
+
+def _with_base(parts: DataFrame, footer_chars: int) -> DataFrame:
+    """Add to each part of a long conversation the length of the parts before it."""
+    row_chars = F.aggregate(
+        "sized", F.lit(0).cast("bigint"), lambda a, m: a + m["lead"] + m["body"] + footer_chars
+    )
+    conversation = W.partitionBy("conv_id")
+    upto = F.sum("_chars").over(conversation.orderBy("first_pos"))
+    narrow = parts.select("conv_id", "first_pos", "_ok", row_chars.alias("_chars"))
+    bases = narrow.select(
+        "conv_id",
+        "first_pos",
+        F.bool_and("_ok").over(conversation).alias("_ok"),
+        (upto - F.col("_chars")).alias("_base"),
+    )
+    return parts.drop("_ok").join(bases, ["conv_id", "first_pos"])
