@@ -106,6 +106,8 @@ def hash_cutoff(
     hashed = df.withColumn("_hash", order_hash(keys, seed))
     place = F.struct("_hash", *keys)
     edges = _edges(hashed, groups, quota)
+    if not groups:
+        edges = F.broadcast(edges)  # a single row
     in_edge = (
         hashed.select(*dict.fromkeys([*groups, *keys]), "_hash")
         .withColumn("_bucket", _bucket("_hash"))
@@ -132,12 +134,15 @@ def hash_rank(
     keys: Sequence[str],
     groups: Sequence[str] = (),
     below: int | None = None,
+    few_groups: bool = False,
     rank: str = "rank",
 ) -> DataFrame:
     """Add the 0-based rank in ``hash_col`` order within each group.
 
-    With ``below``, buckets that lie wholly beyond it are left out before the rows are
-    shuffled, so asking for the first few thousand ranks moves only those rows.
+    With ``below``, buckets that lie wholly beyond it are left out. If the caller knows
+    that there are ``few_groups``, the bucket offsets (at most 65,536 per group) are
+    broadcast, and rows of those buckets are left out before anything is shuffled: asking
+    for the first few thousand ranks then moves only about as many rows.
     """
     bucketed = df.withColumn("_bucket", _bucket(hash_col))
     counts = bucketed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n"))
@@ -149,6 +154,8 @@ def hash_rank(
     )
     if below is not None:
         offsets = offsets.filter(F.col("_before") < below)
+    if few_groups:
+        offsets = F.broadcast(offsets)
     nth = F.row_number().over(W.partitionBy(*groups, "_bucket").orderBy(hash_col, *keys))
     ranked = (
         bucketed.join(offsets, [*groups, "_bucket"])

@@ -12,6 +12,9 @@ from turnloom.functions.text import count_tokens, first_tokens
 from turnloom.operators.nest import Nested
 from turnloom.operators.rank import hash_rank, order_hash
 
+# A run over this many rows has at most this many bucket offsets plus 65,536.
+BROADCAST_PLACES = 500_000
+
 
 def step_plan(
     df: DataFrame,
@@ -38,7 +41,9 @@ def step_plan(
         .withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last_epoch)))
         .withColumn("_hash", order_hash(keys, seed, F.col("_epoch").cast("string")))
     )
-    ranked = hash_rank(laid_out, "_hash", keys, groups=["_epoch"], below=wanted)
+    # Epochs times rows is below wanted + n, hence few offsets: see BROADCAST_PLACES.
+    few = wanted <= BROADCAST_PLACES
+    ranked = hash_rank(laid_out, "_hash", keys, ["_epoch"], below=wanted, few_groups=few)
     place = F.col("_epoch") * F.col("_n") + F.col("rank")
     return (
         ranked.withColumn("_place", place)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from turnloom.operators import pairs as P
@@ -49,7 +51,9 @@ def pairs_from_rows(
     return _extract(nested, lambda: P.pair_validity(nested), on_invalid, batch_size)
 
 
-def _extract(nested: Nested, statuses, on_invalid: str, batch_size: int) -> DataFrame:
+def _extract(
+    nested: Nested, statuses: Callable[[], DataFrame], on_invalid: str, batch_size: int
+) -> DataFrame:
     found = P.single_turn_pairs(nested)
     if on_invalid == "drop_conversation":
         return found

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from turnloom.functions.templates import Template
+from turnloom.operators.nest import SIDES
 from turnloom.operators.pairs import render_pairs
-from turnloom.operators.shaping import length_budget, step_plan
+from turnloom.operators.shaping import BROADCAST_PLACES, length_budget, step_plan
 from turnloom.operators.splits import exact_split
+from turnloom.session import shared_dir
 
 KEYS = ("conv_id", "pair_idx")
 
@@ -25,13 +27,18 @@ def training_rows(
 ) -> DataFrame:
     """Rendered train pairs with step and slot, and the length check of both answers.
 
-    The plan is made on keys alone. Only rows the run reaches are then rendered.
+    Split and plan are made on stored keys alone. Only rows the run reaches, at most
+    ``batch_size * accumulation * max_steps``, are then looked up and rendered.
     """
-    train = exact_split(chat, KEYS, split_seed, eval_share).filter(F.col("split") == "train")
-    plan = step_plan(train, KEYS, run_seed, batch_size, accumulation, max_steps)
-    needed = chat.join(plan.select(*KEYS).distinct(), list(KEYS), "left_semi")
-    rendered = render_pairs(needed, [template])
-    for side in ("chosen", "rejected"):
+    shared_dir(chat.sparkSession)
+    keys = chat.select(*KEYS).checkpoint()
+    train = exact_split(keys, KEYS, split_seed, eval_share).filter(F.col("split") == "train")
+    plan = step_plan(train, KEYS, run_seed, batch_size, accumulation, max_steps).checkpoint()
+    wanted = plan.select(*KEYS).distinct()
+    if batch_size * accumulation * max_steps <= BROADCAST_PLACES:
+        wanted = F.broadcast(wanted)
+    rendered = render_pairs(chat.join(wanted, list(KEYS), "left_semi"), [template])
+    for side in SIDES:
         rendered = length_budget(rendered, budget, text=side).withColumnsRenamed(
             {"n_tokens": f"{side}_tokens", "over_budget": f"{side}_over", "cut_text": f"{side}_cut"}
         )

@@ -182,7 +182,7 @@ def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = exact_split(spark, sf_dir).filter(F.col("split") == "train")
+    train = _stored(exact_split(spark, sf_dir).filter(F.col("split") == "train"))
     return plan(train, KEYS, seed=35, batch_size=2, accumulation=4, max_steps=120)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnloom.functions.templates import IM_END, chatml_compact
-from turnloom.operators.pairs import SIDES
+from turnloom.operators.nest import SIDES
 from turnloom.plans.preference import EXCLUDED_SOURCE
 from turnloom.schemas import message
 from turnloom.sources.readers import read_turns
@@ -73,26 +73,31 @@ def preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = base.filter(role == "assistant").select(
         (c - 1).alias("conv_id"), "turn", content.alias("other")
     )
-    last = base.filter(c % 17 == 4).groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
-    answer, ask = role == "assistant", role == "user"
-    chosen = message(
-        role, F.when(answer & (t == 1) & (c % 11 == 6), F.lit("   \n")).otherwise(content)
-    )
-    rejected = message(
-        F.when(answer & (t == 1) & (c % 13 == 5), "tool").otherwise(role),
+    # The last turn is found by its own key, so that no conversation meets in one task.
+    last = base.filter(c % 17 == 4).groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    last = last.withColumn("cut", F.lit(True))
+    answer, ask, is_chosen = role == "assistant", role == "user", F.col("side") == "chosen"
+    chosen_content = F.when(answer & (t == 1) & (c % 11 == 6), F.lit("   \n")).otherwise(content)
+    rejected_role = F.when(answer & (t == 1) & (c % 13 == 5), "tool").otherwise(role)
+    rejected_content = (
         F.when(answer, F.coalesce("other", content))
         .when(ask & (c % 5 == 2), F.concat(F.lit("\t "), content, F.lit("\xa0")))
         .when(ask & (c % 7 == 3), F.concat(content, F.lit(" (edited)")))
-        .otherwise(content),
+        .otherwise(content)
     )
-    named = [F.struct(F.lit(s).alias("side"), m.alias("m")) for s, m in zip(SIDES, (chosen, rejected))]
-    cut = t.eqNullSafe(F.col("last_turn"))
-    both = F.when(cut, F.array(named[0])).otherwise(F.array(*named))
+    sides = F.when(F.col("cut"), F.array(F.lit("chosen"))).otherwise(F.array(*map(F.lit, SIDES)))
     return (
         base.join(other, ["conv_id", "turn"], "left")
-        .join(last, "conv_id", "left")
-        .select("conv_id", source_of(c).alias("source"), "turn", F.inline(both))
-        .select("conv_id", "source", "side", "turn", "m.role", "m.content")
+        .join(last, ["conv_id", "turn"], "left")
+        .select("*", F.explode(sides).alias("side"))
+        .select(
+            "conv_id",
+            source_of(c).alias("source"),
+            "side",
+            "turn",
+            F.when(is_chosen, role).otherwise(rejected_role).alias("role"),
+            F.when(is_chosen, chosen_content).otherwise(rejected_content).alias("content"),
+        )
     )
 
 
