@@ -70,3 +70,12 @@ def assert_same(df, con, sql):
     want = sorted((tuple(r[i] for i in place) for r in result.fetchall()), key=repr)
     assert sorted((tuple(r[c] for c in cols) for r in got), key=repr) == want
     return len(want)
+
+
+CONV_ROWS = [
+    (1, [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    (2, None),
+    (3, [("user", None)]),
+    (4, [("tool", "t")]),
+    (5, []),
+]
