@@ -15,13 +15,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from turnloom.operators.rank import range_rank
+from turnloom.operators.rank import BROADCAST_ROWS, range_rank
 from turnloom.schemas import TURNS, check_columns
 from turnloom.session import shared_dir
 
 MAX_TURNS = 1024
-# A list of long conversations is broadcast only if counting shows at most this many.
-BROADCAST_ROWS = 100_000
 SIDES = ("chosen", "rejected")
 
 

@@ -16,12 +16,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from turnloom.session import fresh_path
+from turnloom.session import fresh_path, shared_dir
 
 HEX_DIGITS = 4  # 16 ** 4 = 65,536 buckets
+BROADCAST_ROWS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
+def counted_broadcast(df: DataFrame) -> DataFrame:
+    """Store a narrow table; broadcast it if counting shows at most BROADCAST_ROWS."""
+    shared_dir(df.sparkSession)
+    stored = df.checkpoint()
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def range_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataFrame:
     """Add the 0-based position of each row in ascending ``order``.
 
@@ -120,6 +128,7 @@ def hash_cutoff(
         .select(*groups, place.alias("_last"))
     )
     if groups:
+        last = counted_broadcast(last)
         picked = hashed.join(last, list(groups), "left").withColumn(
             flag, F.coalesce(place <= F.col("_last"), F.lit(False))
         )

@@ -7,7 +7,14 @@ Conversations stay long here: positions come from windows, messages are joined w
 from __future__ import annotations
 
 from turnloom.functions.text import WHITESPACE
-from turnloom.workload.queries import BATCH, EVAL_PREFIX, PER_LANG, PREFIX, TOKEN_BUDGET
+from turnloom.workload.queries import (
+    BATCH,
+    EVAL_PREFIX,
+    PAIR_BUDGET,
+    PER_LANG,
+    PREFIX,
+    TOKEN_BUDGET,
+)
 from turnloom.workload.views import SYSTEM_PROMPTS
 
 
@@ -115,6 +122,25 @@ splits AS (
 )
 
 
+PLAN = (
+    SPLIT
+    + """,
+train AS (SELECT *, count(*) OVER () AS n FROM splits WHERE split = 'train'),
+epochs AS (
+  SELECT t.*, epoch
+  FROM train t, unnest(range(0, CAST(ceil(960 / n) AS BIGINT))) AS e(epoch)
+),
+plan AS (
+  SELECT * FROM (
+    SELECT *,
+           row_number() OVER (
+             ORDER BY epoch, md5('35:' || epoch || ':' || conv_id || ':' || pair_idx)) - 1 AS place
+    FROM epochs) x
+  WHERE place < 960
+)"""
+)
+
+
 def _texts(part: str, missing: str, before: str = "''", after: str = "''") -> str:
     return f""",
 texts AS (
@@ -211,6 +237,16 @@ FROM conversations""",
         POS + _texts(tagged("role", "text"), UNFOLDABLE, before="'<s>'"),
         "SELECT conv_id, text FROM texts",
     ),
+    "sft_sharegpt_text": _with(
+        POS.replace(
+            "SELECT conv_id, turn, role, text,",
+            """SELECT conv_id, turn, text,
+         CASE WHEN conv_id % 13 = 5 AND turn = 1 THEN 'tool' WHEN role = 'human' THEN 'user'
+              WHEN role = 'gpt' THEN 'assistant' ELSE role END AS role,""",
+        )
+        + _texts(spaced("role", "text"), UNPRINTABLE),
+        "SELECT conv_id, text FROM texts",
+    ),
     "sft_null_filter": _with(
         SPACED_TEXTS,
         """SELECT conv_id, text FROM texts t WHERE NOT EXISTS (
@@ -324,6 +360,41 @@ UNION ALL SELECT 'pairs', count(*) FROM pairs""",
     "jsonl_roundtrip": _with(
         PAIRS, "SELECT conv_id, pair_idx, prompt, chosen, rejected FROM pairs"
     ),
+    "preference_prepare": _with(
+        PAIRS
+        + f""",
+early AS (SELECT DISTINCT c FROM kept WHERE c IS NOT NULL ORDER BY c LIMIT {PREFIX})""",
+        """SELECT conv_id, pair_idx, prompt, chosen, rejected
+FROM pairs WHERE conv_id IN (SELECT c FROM early)""",
+    ),
+    "training_rows": _with(
+        PLAN
+        + f""",
+shown AS (
+  SELECT conv_id, pair_idx, place, {compact("'user'", "prompt")} || {SUFFIX} AS ask,
+         chosen AS y, rejected AS n_
+  FROM plan
+),
+whole AS (
+  SELECT conv_id, pair_idx, place, ask,
+         ask || y || '<|im_end|>' || {NL} AS chosen,
+         ask || n_ || '<|im_end|>' || {NL} AS rejected
+  FROM shown
+),
+cut AS (
+  SELECT *, regexp_extract_all(chosen, '\\s*\\S+') AS cw, regexp_extract_all(rejected, '\\s*\\S+') AS rw
+  FROM whole
+)""",
+        f"""SELECT conv_id, pair_idx, place // 8 AS step, place % 8 AS slot,
+       'chatml_compact' AS template, ask AS prompt, chosen, rejected,
+       CAST(len(cw) AS BIGINT) AS chosen_tokens, len(cw) > {PAIR_BUDGET} AS chosen_over,
+       CASE WHEN len(cw) > {PAIR_BUDGET} THEN array_to_string(cw[1:{PAIR_BUDGET}], '')
+            ELSE chosen END AS chosen_cut,
+       CAST(len(rw) AS BIGINT) AS rejected_tokens, len(rw) > {PAIR_BUDGET} AS rejected_over,
+       CASE WHEN len(rw) > {PAIR_BUDGET} THEN array_to_string(rw[1:{PAIR_BUDGET}], '')
+            ELSE rejected END AS rejected_cut
+FROM cut""",
+    ),
     "balanced_sample": f"""
 SELECT doc_id, lang FROM (
   SELECT doc_id, lang,
@@ -331,21 +402,7 @@ SELECT doc_id, lang FROM (
   FROM documents) x
 WHERE nth <= {PER_LANG}""",
     "step_plan": _with(
-        SPLIT
-        + """,
-train AS (SELECT conv_id, pair_idx, count(*) OVER () AS n FROM splits WHERE split = 'train'),
-epochs AS (
-  SELECT conv_id, pair_idx, epoch, n
-  FROM train, unnest(range(0, CAST(ceil(960 / n) AS BIGINT))) AS e(epoch)
-),
-plan AS (
-  SELECT conv_id, pair_idx,
-         row_number() OVER (ORDER BY epoch, md5('35:' || epoch || ':' || conv_id || ':' || pair_idx))
-           - 1 AS place
-  FROM epochs
-)""",
-        """SELECT conv_id, pair_idx, place // 8 AS step, place % 8 AS slot
-FROM plan WHERE place < 960""",
+        PLAN, "SELECT conv_id, pair_idx, place // 8 AS step, place % 8 AS slot FROM plan"
     ),
     "length_budget": _with(
         SPACED_TEXTS

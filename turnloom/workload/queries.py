@@ -36,7 +36,7 @@ from turnloom.operators.splits import (
     overlap_audit,
     prefix_split,
 )
-from turnloom.plans import sft
+from turnloom.plans import preference, sft, training_input
 from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_turns
 from turnloom.session import fresh_path, shared_dir
 from turnloom.sources.adapters import turns_from_sharegpt
@@ -52,6 +52,7 @@ PREFIX = 50
 BATCH = 5
 PER_LANG = 20
 TOKEN_BUDGET = 256
+PAIR_BUDGET = 64
 
 
 def role_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,10 @@ def sft_null_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sft.texts(views.turns_with_gaps(spark, sf_dir), chatml_spaced())
 
 
+def sft_sharegpt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sft.texts(turns_from_sharegpt(views.sharegpt_turns(spark, sf_dir)), chatml_spaced())
+
+
 def inst_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instruct_prompts(views.turns(spark, sf_dir))
 
@@ -176,6 +181,20 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.plain_pairs(read_pairs(spark, path))
 
 
+def preference_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "prepared")
+    preference.prepare(_pairs(spark, sf_dir, first=PREFIX), path)
+    return P.plain_pairs(read_pairs(spark, path))
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "training")
+    preference.prepare(_pairs(spark, sf_dir), path)
+    return training_input.training_rows(
+        read_pairs(spark, path), chatml_compact(), budget=PAIR_BUDGET
+    )
+
+
 def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = _stored(_pairs(spark, sf_dir).select(*KEYS))
     return split_exactly(keys, KEYS)
@@ -251,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "dpo_mistral_text": _text(instruct_tagged),
     "sft_null_filter": sft_null_filter,
     "generation_prompt": _text(chatml_spaced, generation=True),
+    "sft_sharegpt_text": sft_sharegpt_text,
     "inst_prompt": inst_prompt,
     "take_prefix": take_prefix,
     "sft_eval_prefix": sft_eval_prefix,
@@ -268,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "exact_split": exact_split,
     "stage_funnel": stage_funnel,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "preference_prepare": preference_prepare,
+    "training_rows": training_rows,
     "dataset_roundtrip": dataset_roundtrip,
     "balanced_sample": balanced_sample,
     "step_plan": step_plan,
