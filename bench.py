@@ -36,6 +36,7 @@ def main() -> None:
             statistics.median(timed(QUERIES[name], spark, sf_dir) for _ in range(runs)), 3
         )
     spark.stop()
+    scale = Path(sf_dir).name.removeprefix("sf")
     print(
         json.dumps(
             {
@@ -43,7 +44,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": Path(sf_dir).name.removeprefix("sf"),
+                "sf": float(scale) if scale.replace(".", "").isdigit() else scale,
             }
         )
     )

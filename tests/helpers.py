@@ -32,7 +32,7 @@ def turns_of(spark, rows):
     return spark.createDataFrame(long, S.TURNS)
 
 
-def sided_turns(spark, rows):
+def sided_turns(spark, rows, key="long"):
     """Long two-sided turns of (conv_id, source, chosen, rejected) rows."""
     long = [
         (c, src, side, t, r, x)
@@ -41,7 +41,7 @@ def sided_turns(spark, rows):
         for t, (r, x) in enumerate(ms or [])
     ]
     return spark.createDataFrame(
-        long, "conv_id long, source string, side string, turn long, role string, content string"
+        long, f"conv_id {key}, source string, side string, turn long, role string, content string"
     )
 
 

@@ -229,3 +229,14 @@ def test_render_pairs(two_pairs):
     assert by["chatml_compact"] == (ask, ask + "a\nb<|im_end|>\n", ask + "c<|im_end|>\n")
     ask = "<s>[INST] é [/INST]"
     assert by["instruct_tagged"] == (ask, ask + " a\nb</s>", ask + " c</s>")
+
+
+@pytest.mark.parametrize("max_turns", [2, 1024])
+def test_text_keys(spark, random_rows, max_turns):
+    rows = [(f"k{c:04d}", *rest) for c, *rest in random_rows]
+    turns = sided_turns(spark, rows, key="string")
+    got = pairs_from_turns(turns, max_turns=max_turns)
+    assert rows_of(got, *COLS) == brute_pairs(rows)
+    got = pairs_from_turns(turns, first=30, on_invalid="drop_batch", batch_size=3)
+    kept = [r for r in rows if r[1] != EXCLUDED_SOURCE and (r[2] or r[3])][:30]
+    assert rows_of(got, *COLS) == brute_pairs(kept, 3)

@@ -20,7 +20,10 @@ from turnloom.schemas import TURNS, check_columns
 from turnloom.session import shared_dir
 
 MAX_TURNS = 1024
+KEY = "conv_id"
 SIDES = ("chosen", "rejected")
+# What turns must have besides the key, which may be of any type that can be ordered.
+TURN_COLUMNS = T.StructType([f for f in TURNS.fields if f.name != KEY])
 
 
 @dataclass(frozen=True)
@@ -44,12 +47,12 @@ def from_rows(df: DataFrame) -> Nested:
     return Nested(df.withColumn("first_pos", F.lit(0).cast("bigint")))
 
 
-def _long_keys(probe: DataFrame, key: str, max_turns: int) -> tuple[DataFrame, bool] | None:
+def _long_keys(probe: DataFrame, max_turns: int) -> tuple[DataFrame, bool] | None:
     """Keys with more than ``max_turns`` rows, and whether they are few; None if none."""
     if max_turns < 2 or max_turns % 2:
         raise ValueError("max_turns must be even and at least 2")
-    sizes = probe.groupBy(key).agg(F.count("*").alias("_n"))
-    long = sizes.filter(F.col("_n") > max_turns).select(key)
+    sizes = probe.groupBy(KEY).agg(F.count("*").alias("_n"))
+    long = sizes.filter(F.col("_n") > max_turns).select(KEY)
     if long.isEmpty():
         return None
     shared_dir(probe.sparkSession)
@@ -83,7 +86,6 @@ def _in_turn_order(keep: Column | None = None) -> Column:
 
 def _gather(
     turns: DataFrame,
-    key: str,
     group: Sequence[str],
     aggs: Sequence[Column],
     max_turns: int,
@@ -92,38 +94,36 @@ def _gather(
 ) -> Nested:
     """Aggregate per conversation, or per part of a long one; ``totals`` are taken over
     the whole of a long conversation and added to each of its parts."""
-    check_columns(turns, _without_key(key))
-    found = _long_keys(turns if probe is None else probe, key, max_turns)
-    short = turns if found is None else turns.join(_small(*found), key, "left_anti")
-    whole = short.groupBy(key).agg(F.lit(0).cast("bigint").alias("first_pos"), *aggs)
+    check_columns(turns, TURN_COLUMNS)
+    found = _long_keys(turns if probe is None else probe, max_turns)
+    short = turns if found is None else turns.join(_small(*found), KEY, "left_anti")
+    whole = short.groupBy(KEY).agg(F.lit(0).cast("bigint").alias("first_pos"), *aggs)
     if found is None:
         return Nested(whole)
     long, few = found
-    placed = _in_parts(turns.join(_small(long, few), key, "left_semi"), group, max_turns, few)
-    parts = placed.groupBy(key, "first_pos").agg(*aggs)
+    placed = _in_parts(turns.join(_small(long, few), KEY, "left_semi"), group, max_turns, few)
+    parts = placed.groupBy(KEY, "first_pos").agg(*aggs)
     if totals:
-        parts = parts.join(_small(placed.groupBy(key).agg(*totals), few), key)
+        parts = parts.join(_small(placed.groupBy(KEY).agg(*totals), few), KEY)
     return Nested(whole, parts)
 
 
 def nest_turns(
     turns: DataFrame,
-    key: str = "conv_id",
     max_turns: int = MAX_TURNS,
     probe: DataFrame | None = None,
 ) -> Nested:
-    """``turns`` to ``(key, first_pos, messages)`` with one shuffle.
+    """``turns`` to ``(conv_id, first_pos, messages)`` with one shuffle.
 
-    ``probe`` may name a cheaper table with at least as many rows per key, used to look
+    ``probe`` may name a cheaper table with at least as many rows per ``conv_id``, used to look
     for long conversations when ``turns`` itself is costly to compute.
     """
     messages = _in_turn_order().alias("messages")
-    return _gather(turns, key, [key], [messages], max_turns, probe)
+    return _gather(turns, [KEY], [messages], max_turns, probe)
 
 
 def nest_preferences(
     turns: DataFrame,
-    key: str = "conv_id",
     keep: Sequence[str] = ("source",),
     max_turns: int = MAX_TURNS,
     probe: DataFrame | None = None,
@@ -134,10 +134,10 @@ def nest_preferences(
     constant per conversation. ``n_chosen`` and ``n_rejected`` count the turns of the
     whole conversation, also where the row is a part of it.
     """
-    aggs = [F.first(c).alias(c) for c in keep]
+    aggs = [F.max(c).alias(c) for c in keep]
     aggs += [_in_turn_order(F.col("side") == s).alias(s) for s in SIDES]
     totals = [F.count_if(F.col("side") == s).alias(f"n_{s}") for s in SIDES]
-    nested = _gather(turns, key, [key, "side"], aggs, max_turns, probe, totals)
+    nested = _gather(turns, [KEY, "side"], aggs, max_turns, probe, totals)
     return Nested(_sized(nested.whole), nested.parts)
 
 
@@ -148,8 +148,3 @@ def preference_rows(df: DataFrame) -> Nested:
 
 def _sized(df: DataFrame) -> DataFrame:
     return df.withColumns({f"n_{s}": F.coalesce(F.size(s), F.lit(0)).cast("bigint") for s in SIDES})
-
-
-def _without_key(key: str) -> T.StructType:
-    """The turn columns besides the key, which may have any name and type."""
-    return T.StructType([f for f in TURNS.fields if f.name not in ("conv_id", key)])

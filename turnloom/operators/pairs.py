@@ -141,24 +141,22 @@ def single_turn_pairs(nested: Nested, skip_leading_system: bool = False) -> Data
     )
 
 
-def drop_bad_batches(
-    pairs: DataFrame, statuses: DataFrame, batch_size: int = 1000, key: str = "conv_id"
-) -> DataFrame:
+def drop_bad_batches(pairs: DataFrame, statuses: DataFrame, batch_size: int = 1000) -> DataFrame:
     """Drop the pairs of every batch that holds an invalid conversation.
 
-    Batches are runs of ``batch_size`` conversations in key order. ``statuses`` is
-    ``(key, status)`` of all conversations; only keys and flags are ranked.
+    Batches are runs of ``batch_size`` conversations in ``conv_id`` order. ``statuses`` is
+    ``(conv_id, status)`` of all conversations; only keys and flags are ranked.
     """
-    flags = statuses.select(key, (F.col("status") != "ok").alias("_bad"))
-    batched = range_rank(flags, [key]).withColumn(
+    flags = statuses.select("conv_id", (F.col("status") != "ok").alias("_bad"))
+    batched = range_rank(flags, ["conv_id"]).withColumn(
         "_batch", F.expr(f"rank div {int(batch_size)}")
     )
     good = (
         batched.withColumn("_bad", F.bool_or("_bad").over(W.partitionBy("_batch")))
         .filter(~F.col("_bad"))
-        .select(key)
+        .select("conv_id")
     )
-    return pairs.join(good, key, "left_semi")
+    return pairs.join(good, "conv_id", "left_semi")
 
 
 def rendered_prompts(pairs: DataFrame, template: Template) -> DataFrame:

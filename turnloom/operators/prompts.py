@@ -11,15 +11,15 @@ from turnloom.functions.text import strip
 from turnloom.schemas import message
 
 
-def instruct_prompts(turns: DataFrame, key: str = "conv_id") -> DataFrame:
-    """``key, text``: prompt of the first system and first user message.
+def instruct_prompts(turns: DataFrame) -> DataFrame:
+    """``conv_id, text``: prompt of the first system and first user message.
 
     Null text without a user message. The two messages are picked by a map-side
     aggregation, so conversations are never gathered.
     """
-    picked = turns.groupBy(key).agg(*[_first_of(r).alias(r) for r in ("system", "user")])
+    picked = turns.groupBy("conv_id").agg(*[_first_of(r).alias(r) for r in ("system", "user")])
     text = instruct_prompt(F.col("system.content"), F.col("user.content"))
-    return picked.select(key, text.alias("text"))
+    return picked.select("conv_id", text.alias("text"))
 
 
 def _first_of(role: str) -> Column:
