@@ -22,7 +22,9 @@ U, A = "user", "assistant"
 @pytest.fixture
 def pairs(spark):
     rows = [(c, 0, f"p{c} é\n", f"y{c} \"q\"", f"n{c}") for c in range(40)]
-    return spark.createDataFrame(rows, f"{COLS[0]} long, {COLS[1]} long, prompt string, chosen string, rejected string")
+    return spark.createDataFrame(
+        rows, "conv_id long, pair_idx long, prompt string, chosen string, rejected string"
+    )
 
 
 def test_jsonl_round_trip(spark, pairs, tmp_path):
@@ -52,7 +54,8 @@ def test_sft_plan_writes_train_and_eval(spark, tmp_path):
     nested = from_rows(spark.createDataFrame(CONV_ROWS, S.CONVERSATIONS))
     sft.prepare(nested, chatml_spaced(), root, n_eval=2)
     every = texts(render(nested, chatml_spaced()))
-    assert texts(readers.read_dataset(spark, root, "train")) == {k: v for k, v in every.items() if v is not None}
+    kept = {k: v for k, v in every.items() if v is not None}
+    assert texts(readers.read_dataset(spark, root, "train")) == kept
     assert set(texts(readers.read_dataset(spark, root, "eval"))) == {1}
     assert readers.read_dataset(spark, root, "eval").columns == ["conv_id", "text"]
     assert "split=eval" in {p.name for p in Path(root).iterdir()}

@@ -31,7 +31,9 @@ def test_range_rank(spark, keyed):
     assert sorted(got) == [(i, *gk) for i, gk in enumerate(want)]
 
 
-@pytest.mark.parametrize("n, num, den", [(1000, 3, 10), (1, 3, 10), (7, 1, 3), (10, 1, 1), (9, 0, 5), (0, 3, 10)])
+@pytest.mark.parametrize(
+    "n, num, den", [(1000, 3, 10), (1, 3, 10), (7, 1, 3), (10, 1, 1), (9, 0, 5), (0, 3, 10)]
+)
 def test_exact_split_sizes(spark, n, num, den):
     df = spark.range(n).withColumnRenamed("id", "k")
     got = splits.exact_split(df, ["k"], eval_share=(num, den)).collect()

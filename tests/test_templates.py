@@ -121,6 +121,15 @@ def test_parts_render_as_the_whole(spark, random_talks, name):
     assert {r["m"] for r in sizes.collect()} == {0} and sizes.agg(F.max("n")).first()[0] == 4
 
 
+def test_turns_without_a_key(spark, random_talks):
+    """Few of them make one nameless conversation; many are refused, not gathered."""
+    turns = turns_of(spark, {1: random_talks[30]}).withColumn("conv_id", F.lit(None).cast("long"))
+    want = texts(render(nest_turns(turns_of(spark, {1: random_talks[30]})), template("chatml_spaced")))
+    assert texts(render(nest_turns(turns), template("chatml_spaced"))) == {None: want[1]}
+    with pytest.raises(ValueError, match="no conv_id"):
+        nest_turns(turns, max_turns=4)
+
+
 def test_parts_are_a_result_of_their_own(spark, random_talks):
     nested = nest_turns(turns_of(spark, {30: random_talks[30]}), max_turns=8)
     parts = render_parts(nested.parts, template("instruct_folded")).orderBy("first_pos").collect()
@@ -191,6 +200,7 @@ def test_prompt_grid(spark):
 @pytest.mark.parametrize("skip, want", [(True, "yes  no"), (False, "yes <|im_end|> no<|im_end|>")])
 def test_clean_response(spark, skip, want):
     prompt = "<|im_start|>user\nsüß?<|im_end|>\n"
-    df = spark.createDataFrame([(prompt, prompt + " \xa0yes <|im_end|> no<|im_end|>\n")], "p string, o string")
+    output = prompt + " \xa0yes <|im_end|> no<|im_end|>\n"
+    df = spark.createDataFrame([(prompt, output)], "p string, o string")
     got = df.select(clean_response(F.col("o"), F.col("p"), skip_special=skip)).first()[0]
     assert got == want

@@ -57,6 +57,8 @@ def _long_keys(probe: DataFrame, max_turns: int) -> tuple[DataFrame, bool] | Non
         return None
     shared_dir(probe.sparkSession)
     long = long.checkpoint()
+    if not long.filter(F.col(KEY).isNull()).isEmpty():
+        raise ValueError(f"more than {max_turns} turns have no {KEY}: they are no conversation")
     return long, long.count() <= BROADCAST_ROWS
 
 
@@ -109,14 +111,12 @@ def _gather(
 
 
 def nest_turns(
-    turns: DataFrame,
-    max_turns: int = MAX_TURNS,
-    probe: DataFrame | None = None,
+    turns: DataFrame, max_turns: int = MAX_TURNS, probe: DataFrame | None = None
 ) -> Nested:
     """``turns`` to ``(conv_id, first_pos, messages)`` with one shuffle.
 
-    ``probe`` may name a cheaper table with at least as many rows per ``conv_id``, used to look
-    for long conversations when ``turns`` itself is costly to compute.
+    ``probe`` may name a cheaper table with at least as many rows per ``conv_id``, used to
+    look for long conversations when ``turns`` itself is costly to compute.
     """
     messages = _in_turn_order().alias("messages")
     return _gather(turns, [KEY], [messages], max_turns, probe)
@@ -147,4 +147,5 @@ def preference_rows(df: DataFrame) -> Nested:
 
 
 def _sized(df: DataFrame) -> DataFrame:
-    return df.withColumns({f"n_{s}": F.coalesce(F.size(s), F.lit(0)).cast("bigint") for s in SIDES})
+    sizes = {s: F.coalesce(F.size(s), F.lit(0)).cast("bigint") for s in SIDES}
+    return df.withColumns({f"n_{s}": size for s, size in sizes.items()})
