@@ -29,7 +29,7 @@ from turnloom.llm.common import hex_digits, source_key, stored, word_count
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEATS = 2
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 256
 TIME_BUCKETS = 4096
 
 

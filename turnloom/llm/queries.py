@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from turnloom.llm import mixing
+from turnloom.llm import decontaminate, divergence, mixing, sharding
 
 QUERIES = {
+    "op2_divergence": divergence.op2_divergence,
+    "op4_hypergeometric": sharding.op4_hypergeometric,
     "op5_fair_queueing": mixing.op5_fair_queueing,
+    "op7_suffix_automaton": decontaminate.op7_suffix_automaton,
 }
 
 ORACLES = {
