@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import turnloom
 from turnloom.session import fresh_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,3 +39,23 @@ def source_key(source: Column) -> Column:
 def hex_digits(rows: int, per_bucket: int, most: int = 6) -> int:
     """Leading hex digits of a hash that make buckets of about ``per_bucket`` rows."""
     return max(1, min(most, math.ceil(math.log(max(rows, 1) / per_bucket, 16))))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application.
+
+    The driver serves the file; executors need no installation of their own.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(turnloom.__file__).parent
+    path = f"{tempfile.mkdtemp(prefix='turnloom-package-')}/turnloom.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as made:
+        for module in sorted(package.rglob("*.py")):
+            made.write(module, module.relative_to(package.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from turnloom.llm.common import table
+from turnloom.llm.common import ship, table
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -207,6 +207,7 @@ def find_hits(
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in {f.name for f in ADDED}]
     docs = docs.select(*[F.col(f"`{c}`") for c in kept])
+    ship(spark)
     sent = spark.sparkContext.broadcast(automata(items, window))
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from turnloom.llm.common import WORD, table, word_count
+from turnloom.llm.common import WORD, stored, table
 
 COMMON = 32
 SHORT = 4
@@ -34,6 +34,7 @@ BROADCAST_LANGUAGES = 10_000
 REPEAT_WINDOW = 8
 
 SYMBOLS = r"[#*$%&|<>]"
+SPACE = r"[\x20\x09-\x0D]"
 UPPER = r"\p{Lu}"
 DIGIT = r"\p{Nd}"
 PUNCTUATION = r"[.,;:!?'\"()-]"
@@ -48,49 +49,66 @@ def _n(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
-def repeated_words(words: Column) -> Column:
-    """Words covered by a window of eight words that occurs at least twice in the text.
+def with_repeated_words(docs: DataFrame) -> DataFrame:
+    """Add n_repeat_words: words covered by a window of eight words that occurs at least
+    twice in the text.
 
-    Window hashes are sorted with their positions, so equal ones are neighbours; the sort
-    is only done for texts in which some hash occurs twice.
+    Window hashes are sorted with their positions, so equal ones are neighbours; this is
+    only done for texts in which some hash occurs twice. Each step is a column of its own,
+    since an expression used inside a lambda is evaluated anew for every element.
     """
     n = REPEAT_WINDOW
-    hashes = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, n))
+    words, hashes, pairs = F.col("_js_words"), F.col("_js_hashes"), F.col("_js_pairs")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
+    sorted_pairs = F.array_sort(
+        F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     )
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    marked = F.transform(
+    again = F.transform(
         pairs,
         lambda p, k: F.when(
             (F.get(pairs, k - 1)["h"] == p["h"]) | (F.get(pairs, k + 1)["h"] == p["h"]), p["i"]
         ),
     )
-    places = F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
     covered = F.aggregate(
-        places,
+        F.col("_js_places"),
         F.struct(F.lit(0).alias("n"), F.lit(-n).alias("last")),
         lambda acc, i: F.struct(
             (acc["n"] + F.least(F.lit(n), i - acc["last"])).alias("n"), i.alias("last")
         ),
         lambda acc: acc["n"],
     )
-    long_enough = F.size(words) >= n
-    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
-    return F.when(long_enough & repeats, covered).otherwise(0).cast("long")
+    return (
+        docs.withColumn(
+            "_js_hashes", F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, n)))
+        )
+        .withColumn(
+            "_js_pairs",
+            F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), sorted_pairs),
+        )
+        .withColumn("_js_places", F.array_sort(F.filter(again, lambda i: i.isNotNull())))
+        .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+        .drop("_js_hashes", "_js_pairs", "_js_places")
+    )
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
-    return (
-        docs.withColumn("n_words", word_count(F.col("text")))
-        .withColumn("word_chars", F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"))
+    counted = (
+        docs.withColumn("_js_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+        .withColumn("_js_lines", lines)
+        .withColumn("n_words", F.size("_js_words").cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("_js_words", "")).cast("long"))
         .withColumn("n_symbols", _n(text, SYMBOLS))
-        .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-        .withColumn("_js_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-        .withColumn("n_repeat_words", repeated_words(F.col("_js_words")))
-        .drop("_js_words")
+        .withColumn(
+            "n_dup_lines",
+            (F.size("_js_lines") - F.size(F.array_distinct("_js_lines"))).cast("long"),
+        )
+    )
+    return (
+        with_repeated_words(counted)
+        .drop("_js_words", "_js_lines")
         .withColumn(
             "base_failed",
             (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
@@ -98,23 +116,24 @@ def base_rules(docs: DataFrame) -> DataFrame:
     )
 
 
-def _class_counts(text: Column) -> Column:
-    """White space, upper case, digits, punctuation, symbols, other: long counts."""
-    n = F.length(text).cast("long")
-    words = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long")
-    parts = [n - words, *(_n(text, p) for p in (UPPER, DIGIT, PUNCTUATION, OTHER_SYMBOL))]
-    rest = n
-    for p in parts:
-        rest = rest - p
-    return F.array(*parts, rest)
+def with_class_counts(docs: DataFrame) -> DataFrame:
+    """Add _js_classes: white space, upper case, digits, punctuation, symbols, other."""
+    text = F.coalesce("text", F.lit(""))
+    kinds = (SPACE, UPPER, DIGIT, PUNCTUATION, OTHER_SYMBOL)
+    names = [f"_js_class{k}" for k in range(len(kinds))]
+    counted = docs.withColumns({c: _n(text, p) for c, p in zip(names, kinds)})
+    rest = F.length(text).cast("long")
+    for c in names:
+        rest = rest - F.col(c)
+    return counted.withColumn("_js_classes", F.array(*names, rest)).drop(*names)
 
 
 def language_references(docs: DataFrame) -> DataFrame:
     """One row per language: class shares, common words and their shares (others last)."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
+    rows = with_class_counts(docs).select(
         F.coalesce("lang", F.lit("")).alias("_js_lang"),
-        _class_counts(text).alias("c"),
+        F.col("_js_classes").alias("c"),
         _n(text, LETTERS).alias("n"),
         F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)).alias("w"),
     )
@@ -162,61 +181,81 @@ def js_distance(counts: Column, total: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(twice / 2, F.lit(0.0)))
 
 
-def word_bins(words: Column, common: Column, total: Column) -> Column:
-    """Counts of the common words, in their order, and of all other words."""
-    # One character for each short word: BINS[k] for the k-th common word, "-" for none.
-    signs = F.array_join(
-        F.transform(
-            words, lambda w: F.substring(F.lit("-" + BINS), F.array_position(common, w).cast("int") + 1, F.lit(1))
-        ),
-        "",
-    )
-    known = F.transform(
-        F.sequence(F.lit(1), F.size(common)),
-        lambda k: (F.length(signs) - F.length(F.replace(signs, F.substring(F.lit(BINS), k, F.lit(1))))).cast("long"),
+def with_word_bins(docs: DataFrame) -> DataFrame:
+    """Add _js_bins: counts of the language's common words, in their order, and of others.
+
+    Each short word becomes one character, BINS[k] for the k-th common word, so that the
+    counts are lengths of strings.
+    """
+    common, signs, known = F.col("_js_common"), F.col("_js_signs"), F.col("_js_known")
+    sign = F.lit("-" + BINS)
+    places = F.sequence(F.lit(1), F.greatest(F.size(common), F.lit(1)))
+    return (
+        docs.withColumn(
+            "_js_signs",
+            F.array_join(
+                F.transform(
+                    "_js_short",
+                    lambda w: F.substring(sign, F.array_position(common, w).cast("int") + 1, F.lit(1)),
+                ),
+                "",
+            ),
+        )
+        .withColumn(
+            "_js_known",
+            F.slice(
+                F.transform(
+                    places,
+                    lambda k: (
+                        F.length(signs)
+                        - F.length(F.replace(signs, F.substring(F.lit(BINS), k, F.lit(1))))
+                    ).cast("long"),
+                ),
+                F.lit(1),
+                F.size(common),
+            ),
+        )
+        .withColumn(
+            "_js_bins",
+            F.concat(
+                known,
+                F.array(
+                    F.col("_js_total") - F.aggregate(known, F.lit(0).cast("long"), lambda a, x: a + x)
+                ),
+            ),
+        )
+        .drop("_js_signs", "_js_known")
     )
-    known = F.when(F.size(common) > 0, known).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(known, F.array(total - F.aggregate(known, F.lit(0).cast("long"), lambda a, n: a + n)))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the base measures, both distances (null below the guards) and ``kept``."""
     references = language_references(docs)
-    refs = references.persist()
-    try:
-        if refs.count() <= BROADCAST_LANGUAGES:
-            refs = F.broadcast(
-                docs.sparkSession.createDataFrame(refs.collect(), references.schema)
-            )
-        else:
-            refs = references
-    finally:
-        references.unpersist()
+    references = stored(references, "languages")
+    few = references.count() <= BROADCAST_LANGUAGES
+    refs = F.broadcast(references) if few else references
     text = F.coalesce("text", F.lit(""))
-    total = _n(text, LETTERS)
-    short = F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1))
     chars = F.length(text)
     measured = (
         base_rules(docs)
         .withColumn("_js_lang", F.coalesce("lang", F.lit("")))
         .join(refs, "_js_lang", "left")
-        .withColumn("_js_total", total)
+        .withColumn("_js_total", _n(text, LETTERS))
+        .withColumn("_js_short", F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)))
+    )
+    measured = (
+        with_word_bins(with_class_counts(measured))
         .withColumn(
             "class_distance",
             F.when(
-                chars >= MIN_CHARS,
-                js_distance(_class_counts(text), chars, F.col("_js_class")),
+                chars >= MIN_CHARS, js_distance(F.col("_js_classes"), chars, F.col("_js_class"))
             ),
         )
         .withColumn(
             "word_distance",
             F.when(
                 F.col("_js_total") >= MIN_WORDS,
-                js_distance(
-                    word_bins(short, F.col("_js_common"), F.col("_js_total")),
-                    F.col("_js_total"),
-                    F.col("_js_share"),
-                ),
+                js_distance(F.col("_js_bins"), F.col("_js_total"), F.col("_js_share")),
             ),
         )
     )
@@ -224,7 +263,8 @@ def judge(docs: DataFrame) -> DataFrame:
         F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE
     )
     return measured.withColumn("kept", ~F.col("base_failed") & near).drop(
-        "_js_lang", "_js_total", "_js_class", "_js_common", "_js_share"
+        "_js_lang", "_js_total", "_js_class", "_js_common", "_js_share",
+        "_js_short", "_js_bins", "_js_classes",
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from turnloom.llm import decontaminate, divergence, mixing, sharding
+from turnloom.llm import decontaminate, divergence, mixing, sharding, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_lempel_ziv": substring_dedup.op1_lempel_ziv,
     "op2_divergence": divergence.op2_divergence,
+    "op3_gated_recurrent": toxicity.op3_gated_recurrent,
     "op4_hypergeometric": sharding.op4_hypergeometric,
     "op5_fair_queueing": mixing.op5_fair_queueing,
     "op7_suffix_automaton": decontaminate.op7_suffix_automaton,
