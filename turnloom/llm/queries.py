@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from turnloom.llm import decontaminate, divergence, mixing, sharding, substring_dedup, toxicity
+from turnloom.llm import (
+    decontaminate,
+    divergence,
+    html_extract,
+    jaccard_join,
+    mixing,
+    quotation,
+    resampling,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 QUERIES = {
     "op1_lempel_ziv": substring_dedup.op1_lempel_ziv,
@@ -10,7 +21,11 @@ QUERIES = {
     "op3_gated_recurrent": toxicity.op3_gated_recurrent,
     "op4_hypergeometric": sharding.op4_hypergeometric,
     "op5_fair_queueing": mixing.op5_fair_queueing,
+    "op6_quotation": quotation.op6_quotation,
     "op7_suffix_automaton": decontaminate.op7_suffix_automaton,
+    "op8_tree_model": html_extract.op8_tree_model,
+    "op9_grouped_prefix": jaccard_join.op9_grouped_prefix,
+    "op10_importance": resampling.op10_importance,
 }
 
 ORACLES = {

@@ -250,8 +250,9 @@ def parse(runs: list, window: int) -> list[tuple[int, int, int, int]]:
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with n_words, n_removed, kept_text (words joined by one space) and factors.
 
-    ``docs`` must not have columns of these names.
+    Columns of these names in ``docs`` are replaced.
     """
+    docs = docs.drop("n_words", "n_removed", "kept_text", "factors", "_runs")
     runs = find_runs(docs, window).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "n", "ref_doc", "ref_start")).alias("_runs")
     )

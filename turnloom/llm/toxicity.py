@@ -285,8 +285,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Network:
 def _start_embeddings(net: Network, tokens: Tokens, labels: np.ndarray) -> np.ndarray:
     """Log odds of words between the classes, by texts; the first embedding coordinates."""
     row = np.repeat(np.arange(len(labels)), np.diff(tokens.at))
-    pairs = np.unique(np.stack([tokens.ids, row], axis=1), axis=0)
-    n = [np.bincount(pairs[labels[pairs[:, 1]] == y, 0], minlength=len(tokens.bucket)) for y in (0, 1)]
+    pairs = np.unique(tokens.ids * len(labels) + row)
+    ids, label = pairs // len(labels), labels[pairs % len(labels)]
+    n = [np.bincount(ids[label == y], minlength=len(tokens.bucket)) for y in (0, 1)]
     share = (labels == 1).sum() / max((labels == 0).sum(), 1)
     odds = np.log((n[1] + 2) / (n[0] * share + 2)).astype(np.float32)
     net.p["word"][tokens.bucket, 0] = odds / 2
@@ -343,6 +344,15 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.mapInArrow(scored, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
 
 
+def drop_toxic(docs: DataFrame, net: Network | None, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose score reaches ``threshold``; same columns."""
+    own = "score" in docs.columns
+    scored = score(docs.withColumnRenamed("score", "_doc_score") if own else docs, net)
+    kept = scored.filter(F.col("score") < threshold).drop("score")
+    kept = kept.withColumnRenamed("_doc_score", "score") if own else kept
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op3_gated_recurrent(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = fit(docs, table(spark, sf_dir, "labels"))
