@@ -5,13 +5,14 @@ Jensen-Shannon distance (base 2, 0 to 1): characters by class (white space, uppe
 letters, digits, punctuation, symbols, other), and words by the language's ``COMMON`` most
 frequent short words (all others are one bin). References are sums over all documents of a
 language; a null language is a language of its own. A distance counts only for documents
-long enough to have a histogram (``MIN_CHARS``, ``MIN_WORDS``).
+long enough to have a histogram (``MIN_CHARS``, ``MIN_WORDS``), and as far as it exceeds what
+a sample of that length differs by chance, sqrt(bins / (8 n ln 2)).
 
 DataFrame operations only. The references come from one aggregation that is combined on the
 map side (words of at most ``SHORT`` letters, a bounded vocabulary), so the language with
 most of the rows sends no more than others. They are one row per language; they are
-broadcast if counting shows at most ``BROADCAST_LANGUAGES``, joined otherwise. Documents
-are never shuffled for a broadcast, and all measures of a row come from the row alone.
+broadcast if counting shows at most ``BROADCAST_LANGUAGES``, joined otherwise. Texts are read
+once and never shuffled; all measures of a row come from the row alone.
 
 Defined results: null and empty texts have counts of 0 and fail the base rules; repeated
 rows are judged alike; an empty table gives no rows; other columns stay (names that begin
@@ -20,6 +21,9 @@ with ``_js`` are used here and must not occur).
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnloom.llm.common import WORD, stored, table
@@ -28,13 +32,16 @@ COMMON = 32
 SHORT = 4
 MIN_CHARS = 200
 MIN_WORDS = 50
-MAX_CLASS_DISTANCE = 0.2
-MAX_WORD_DISTANCE = 0.6
+MAX_CLASS_DISTANCE = 0.155
+MAX_WORD_DISTANCE = 0.12
+CLASSES = 6
 BROADCAST_LANGUAGES = 10_000
 REPEAT_WINDOW = 8
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 SYMBOLS = r"[#*$%&|<>]"
 SPACE = r"[\x20\x09-\x0D]"
+SMALL = r"[\p{L}&&[^\p{Lu}]]++"
 UPPER = r"\p{Lu}"
 DIGIT = r"\p{Nd}"
 PUNCTUATION = r"[.,;:!?'\"()-]"
@@ -117,34 +124,54 @@ def base_rules(docs: DataFrame) -> DataFrame:
 
 
 def with_class_counts(docs: DataFrame) -> DataFrame:
-    """Add _js_classes: white space, upper case, digits, punctuation, symbols, other."""
+    """Add _js_classes: white space, upper case, digits, punctuation, symbols, other.
+
+    Most characters are small letters; they are cut out first, so that the other classes
+    are counted in a short string.
+    """
     text = F.coalesce("text", F.lit(""))
     kinds = (SPACE, UPPER, DIGIT, PUNCTUATION, OTHER_SYMBOL)
     names = [f"_js_class{k}" for k in range(len(kinds))]
-    counted = docs.withColumns({c: _n(text, p) for c, p in zip(names, kinds)})
+    short = docs.withColumn("_js_cut", F.regexp_replace(text, SMALL, ""))
+    counted = short.withColumns({c: _n(F.col("_js_cut"), p) for c, p in zip(names, kinds)})
     rest = F.length(text).cast("long")
     for c in names:
         rest = rest - F.col(c)
-    return counted.withColumn("_js_classes", F.array(*names, rest)).drop(*names)
+    return counted.withColumn("_js_classes", F.array(*names, rest)).drop(*names, "_js_cut")
 
 
-def language_references(docs: DataFrame) -> DataFrame:
-    """One row per language: class shares, common words and their shares (others last)."""
+def measured(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The columns ``keep``, the base measures, and what the histograms are made of.
+
+    Written once, without the texts unless they are kept: references and distances are
+    both computed from this table.
+    """
     text = F.coalesce("text", F.lit(""))
-    rows = with_class_counts(docs).select(
+    rows = with_class_counts(base_rules(docs)).select(
+        *keep,
+        *BASE,
+        "_js_classes",
         F.coalesce("lang", F.lit("")).alias("_js_lang"),
-        F.col("_js_classes").alias("c"),
-        _n(text, LETTERS).alias("n"),
-        F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)).alias("w"),
+        F.length(text).alias("_js_chars"),
+        _n(text, LETTERS).alias("_js_total"),
+        F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)).alias("_js_short"),
     )
+    return stored(rows, "measures")
+
+
+def language_references(rows: DataFrame) -> DataFrame:
+    """One row per language of ``measured`` rows: class shares, common words and their shares
+    (others last)."""
     classes = rows.groupBy("_js_lang").agg(
-        F.sum("n").alias("_js_total"),
-        *[F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(6)],
+        F.sum("_js_total").alias("_js_all"),
+        *[F.sum(F.col("_js_classes")[k]).alias(f"c{k}") for k in range(CLASSES)],
     )
-    chars = sum((F.col(f"c{k}") for k in range(6)), F.lit(0))
-    share = F.array(*[F.coalesce(F.col(f"c{k}") / chars, F.lit(0.0)) for k in range(6)])
+    chars = sum((F.col(f"c{k}") for k in range(CLASSES)), F.lit(0))
+    share = F.array(*[F.coalesce(F.col(f"c{k}") / chars, F.lit(0.0)) for k in range(CLASSES)])
     words = (
-        rows.select("_js_lang", F.explode("w").alias("w")).groupBy("_js_lang", "w").agg(F.count("*").alias("n"))
+        rows.select("_js_lang", F.explode("_js_short").alias("w"))
+        .groupBy("_js_lang", "w")
+        .agg(F.count("*").alias("n"))
     )
     # Spark keeps the first COMMON rows of a language before the shuffle.
     nth = F.row_number().over(W.partitionBy("_js_lang").orderBy(F.desc("n"), "w"))
@@ -155,14 +182,14 @@ def language_references(docs: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("nth", "w", "n"))).alias("top"))
     )
     top = F.coalesce(F.col("top"), F.array().cast("array<struct<nth:int,w:string,n:bigint>>"))
-    known = F.transform(top, lambda t: t["n"] / F.col("_js_total"))
+    known = F.transform(top, lambda t: t["n"] / F.col("_js_all"))
     counted = F.aggregate(top, F.lit(0).cast("long"), lambda acc, t: acc + t["n"])
-    other = (F.col("_js_total") - counted) / F.col("_js_total")
+    other = (F.col("_js_all") - counted) / F.col("_js_all")
     return classes.join(common, "_js_lang", "left").select(
         "_js_lang",
         share.alias("_js_class"),
         F.transform(top, lambda t: t["w"]).alias("_js_common"),
-        F.when(F.col("_js_total") > 0, F.concat(known, F.array(other)))
+        F.when(F.col("_js_all") > 0, F.concat(known, F.array(other)))
         .otherwise(F.array(F.lit(0.0)))
         .alias("_js_share"),
     )
@@ -228,23 +255,23 @@ def with_word_bins(docs: DataFrame) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` with the base measures, both distances (null below the guards) and ``kept``."""
-    references = language_references(docs)
-    references = stored(references, "languages")
+def _within(distance: str, bins: int, n: Column, limit: float) -> Column:
+    chance = F.sqrt(F.lit(bins / (8 * math.log(2))) / F.greatest(n, F.lit(1)))
+    return F.coalesce(F.col(distance) - chance <= limit, F.lit(True))
+
+
+def judge(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default: all), the base measures, both distances (null
+    below the guards) and ``kept``. Columns of those names are replaced."""
+    added = [*BASE, "class_distance", "word_distance", "kept"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    rows = measured(docs, keep)
+    references = stored(language_references(rows), "languages")
     few = references.count() <= BROADCAST_LANGUAGES
     refs = F.broadcast(references) if few else references
-    text = F.coalesce("text", F.lit(""))
-    chars = F.length(text)
-    measured = (
-        base_rules(docs)
-        .withColumn("_js_lang", F.coalesce("lang", F.lit("")))
-        .join(refs, "_js_lang", "left")
-        .withColumn("_js_total", _n(text, LETTERS))
-        .withColumn("_js_short", F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)))
-    )
-    measured = (
-        with_word_bins(with_class_counts(measured))
+    chars = F.col("_js_chars")
+    judged = (
+        with_word_bins(rows.join(refs, "_js_lang", "left"))
         .withColumn(
             "class_distance",
             F.when(
@@ -259,15 +286,11 @@ def judge(docs: DataFrame) -> DataFrame:
             ),
         )
     )
-    near = (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE
-    )
-    return measured.withColumn("kept", ~F.col("base_failed") & near).drop(
-        "_js_lang", "_js_total", "_js_class", "_js_common", "_js_share",
-        "_js_short", "_js_bins", "_js_classes",
+    near = _within("class_distance", CLASSES, chars, MAX_CLASS_DISTANCE) & _within(
+        "word_distance", COMMON + 1, F.col("_js_total"), MAX_WORD_DISTANCE
     )
+    return judged.withColumn("kept", ~F.col("base_failed") & near).select(*keep, *added)
 
 
 def op2_divergence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs).drop("text", "lang")
+    return judge(table(spark, sf_dir, "documents"), ["doc_id"])

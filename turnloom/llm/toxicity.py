@@ -42,6 +42,7 @@ EPOCHS = 6
 BATCH = 128
 RATE = 0.01
 BLOCK = 4096  # windows scored at once
+SLICE = 4_000_000  # bytes of text that share their distinct words
 
 SEPARATOR = np.array(
     [not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) for c in range(256)]
@@ -334,7 +335,7 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, SLICE):
                 values = net.score(part.column("text")) if net else np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(values.astype(np.float64))],

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
+KEPT_POWERS = 4_000_000
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -43,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 1), base & MASK, dtype=np.uint64)
         steps[0] = 1
         known = np.cumprod(steps, dtype=np.uint64)
-        if n <= SLICE_BYTES + 1:
+        if n <= KEPT_POWERS:
             _powers[base] = known
     return known[:n]
 
@@ -114,12 +115,13 @@ def hash_words(texts: pa.Array, lower: bool = False, space: np.ndarray = SPACE)
     return Words(hashes, np.searchsorted(starts, offsets), data, starts, ends)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in pieces of about SLICE_BYTES of text; a longer row stands alone."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in pieces of about ``limit`` bytes of ``text``; a longer row stands
+    alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     first = total = 0
     for row, size in enumerate(sizes.tolist()):
-        if total and total + size > SLICE_BYTES:
+        if total and total + size > limit:
             yield batch.slice(first, row - first)
             first, total = row, 0
         total += size
