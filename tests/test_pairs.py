@@ -7,7 +7,7 @@ from helpers import OK_PAIR, preference_df, preferences, rows_of, sided_turns
 from turnloom.functions.templates import chatml_compact, chatml_spaced, instruct_tagged
 from turnloom.operators import pairs as P
 from turnloom.operators.nest import nest_preferences
-from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_rows, pairs_from_turns
+from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_rows, pairs_from_turns, recovered
 
 COLS = ("conv_id", "pair_idx", "prompt", "chosen", "rejected")
 U, A, S = "user", "assistant", "system"
@@ -69,6 +69,28 @@ def test_leading_system_can_be_skipped(spark):
     ]
 
 
+@pytest.mark.parametrize("limit", [2, 4, 6, 1024])
+def test_leading_system_is_skipped_in_long_conversations_too(spark, limit):
+    led = [(S, "s"), *talk(*[f"{x}{i}" for i in range(9) for x in "ua"]), (U, "last")]
+    other = [(r, c if r != A else c + "!") for r, c in led]
+    plain = talk(*[f"{x}{i}" for i in range(7) for x in "ua"])
+    changed = [(r, c if r != A else c + "!") for r, c in plain]
+    rows = [(1, None, led, other), (2, None, plain, changed), (3, None, led, changed)]
+    nested = nest_preferences(sided_turns(spark, rows), max_turns=limit, skip_leading_system=True)
+    assert (nested.parts is None) == (limit == 1024)
+    got = rows_of(P.single_turn_pairs(nested, skip_leading_system=True), "conv_id", "pair_idx", "prompt")
+    want = [(1, 2 * i + 1, f"u{i}") for i in range(9)] + [(2, 2 * i, f"u{i}") for i in range(7)]
+    assert sorted(got) == sorted(want)
+
+
+def test_recovered_prompts(spark):
+    pairs = spark.createDataFrame(
+        [(1, 0, "a <|im_end|> b", "y", "n"), (2, 0, "plain", "y", "n")],
+        "conv_id long, pair_idx long, prompt string, chosen string, rejected string",
+    )
+    assert rows_of(recovered(pairs), "conv_id", "prompt") == [(1, "a"), (2, "plain")]
+
+
 def test_role_aligned(spark):
     rows = [
         (1, None, OK_PAIR, OK_PAIR),

@@ -5,9 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from turnloom.operators import nest, rank
+from turnloom.operators.nest import nest_preferences
 from turnloom.operators.select import take_prefix
 from turnloom.operators.splits import balanced_sample, exact_split
 from turnloom.workload import views
+from turnloom.workload.queries import QUERIES
 
 
 @pytest.fixture
@@ -27,7 +30,7 @@ def main_part(plan):
     return "\n".join(line for line in plan.splitlines() if not re.match(r"^[ :]*:  ?", line))
 
 
-@pytest.mark.parametrize("name", E.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_cross_join_no_python(spark, sf_dir, static_plans, name):
     plan = static_plans(E.queries()[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
@@ -55,10 +58,33 @@ def test_prefix_reaches_the_scan(spark, sf_dir):
     assert re.search(r"DataFilters: \[[^\]]*conv_id#\d+L <= ", text)
 
 
-def test_small_samples_are_pruned_before_the_shuffle(spark, sf_dir, static_plans):
-    docs = views.documents(spark, sf_dir).select("doc_id", "lang")
+def test_samples_do_not_sort_rows(spark, sf_dir, static_plans):
+    """Complete rows are compared with a cut per stratum; only keys are ordered."""
+    docs = views.documents(spark, sf_dir).select("doc_id", "lang", "text")
     plan = static_plans(balanced_sample(docs, "lang", ["doc_id"], 20))
-    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    assert not re.search(r"Window.*text#", plan)
+
+
+def test_long_prefix_gathers_no_keys(spark, sf_dir, static_plans):
+    plan = static_plans(take_prefix(views.turns(spark, sf_dir), "conv_id", 100_000))
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_many_long_conversations_are_spread(spark, sf_dir, static_plans, monkeypatch):
+    """Too many to broadcast: texts are never hashed on the bare key, except to gather the
+    short conversations and the parts."""
+    monkeypatch.setattr(rank, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(nest, "BROADCAST_ROWS", 0)
+    turns = views.preference_turns(spark, sf_dir)
+    nested = nest_preferences(turns, max_turns=2, probe=views.turns(spark, sf_dir))
+    plan = static_plans(nested.parts)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\), ENSURE", plan)
+    joined = [k for k in keys if re.match(r"conv_id#\d+L, \d+$", k)]
+    assert any("_salt" in k for k in keys)
+    for block in re.split(r"\n", plan):
+        if "SortMergeJoin" in block:
+            assert "_salt" in block or "_part" in block or "turn" in block or "side" not in block
+    assert len(joined) <= 4  # counts and keys of the view
 
 
 def test_validity_reads_no_texts(spark, sf_dir, static_plans):

@@ -2,7 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from helpers import CONV_ROWS, preference_df, rows_of, texts
 from turnloom import schemas as S
@@ -11,7 +11,7 @@ from turnloom.operators.nest import from_rows
 from turnloom.operators.pairs import chat_format, plain_pairs
 from turnloom.operators.render import render
 from turnloom.plans import preference, sft, training_input
-from turnloom.session import fresh_path, shared_dir
+from turnloom.session import fresh_path, release, shared_dir
 from turnloom.sources import adapters, readers, writers
 from turnloom.streaming.rows import read_rows, run_rows
 
@@ -35,6 +35,55 @@ def test_jsonl_round_trip(spark, pairs, tmp_path):
     assert list(line) == list(COLS) and list(line["prompt"][0]) == ["role", "content"]
 
 
+def test_bad_lines_fail_or_are_kept(spark, tmp_path):
+    good = '{"conv_id": 1, "source": "s", "chosen": [{"role": "u", "content": "c"}], "rejected": []}'
+    for bad in ('{"conv_id": 2, "chosen": [', '{"conv_id": 2, "chosen": ["flat"]}', '{"conv_id": "x"}'):
+        path = tmp_path / f"{abs(hash(bad))}.json"
+        path.write_text(f"{good}\n{bad}\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            readers.read_preferences(spark, str(path), "json").collect()
+        kept = readers.read_preferences(spark, str(path), "json", on_bad="keep").cache()
+        assert kept.count() == 2
+        assert [r["_corrupt_record"] for r in kept.collect() if r["_corrupt_record"]] == [bad]
+    with pytest.raises(ValueError):
+        readers.read_preferences(spark, str(path), "json", on_bad="other")
+
+
+def test_string_keys_survive(spark, pairs, tmp_path):
+    named = pairs.withColumn("conv_id", F.concat(F.lit("k"), "conv_id"))
+    path = str(tmp_path / "pairs")
+    writers.write_jsonl(chat_format(named), path)
+    schema = S.keyed(S.CHAT_PAIRS, T.StringType())
+    assert rows_of(plain_pairs(readers.read_pairs(spark, path, schema)), *COLS) == rows_of(named, *COLS)
+    turns = spark.createDataFrame([("a", 0, "user", "x")], "conv_id string, turn long, role string, text string")
+    turns.write.parquet(str(tmp_path / "turns"))
+    assert readers.read_turns(spark, str(tmp_path / "turns")).first()["conv_id"] == "a"
+
+
+def test_keys_from_files_are_stable(spark, tmp_path):
+    rows = [("s", [("user", f"u{i}"), ("assistant", "a")], [("user", f"u{i}"), ("assistant", "b")]) for i in range(50)]
+    path = str(tmp_path / "prefs")
+    spark.createDataFrame(rows, S.keyless(S.PREFERENCES)).repartition(4).write.parquet(path)
+    first, again = (
+        rows_of(preference.pairs_from_rows(readers.read_preferences(spark, path)), "conv_id", "prompt")
+        for _ in range(2)
+    )
+    assert first == again and len({k for k, _ in first}) == 50
+    stored = readers.with_stored_key(spark.range(100).repartition(7).withColumnRenamed("id", "v"))
+    assert stored.select("conv_id").distinct().count() == 100
+
+
+def test_release_deletes_what_was_stored(spark):
+    path = fresh_path(spark, "released")
+    spark.range(3).write.parquet(path)
+    other = f"{shared_dir(spark)}/not-ours"
+    spark.range(3).write.mode("overwrite").parquet(other)
+    assert release(spark) >= 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert spark.read.parquet(other).count() == 3
+
+
 def test_jsonl_without_keys(pairs, tmp_path):
     path = str(tmp_path / "pairs")
     writers.write_jsonl(chat_format(pairs), path, drop=["conv_id", "pair_idx"])

@@ -70,7 +70,7 @@ def test_hash_rank(spark, keyed):
 
 
 @pytest.mark.parametrize("k", [1, 5, 100, 333, 2000])
-def test_balanced_sample_ways_agree(monkeypatch, spark, keyed, k):
+def test_balanced_sample(spark, keyed, k):
     data = keyed.unionByName(spark.createDataFrame([(5000, None), (5001, None)], keyed.schema))
     by_group = {}
     for r in data.collect():
@@ -79,9 +79,20 @@ def test_balanced_sample_ways_agree(monkeypatch, spark, keyed, k):
         ((x, g) for g, ks in by_group.items() for x in sorted(ks, key=lambda v: md5(9, v))[:k]),
         key=repr,
     )
-    for limit in (0, 10_000):
-        monkeypatch.setattr(splits, "PRUNED_TOP_K", limit)
-        assert rows_of(splits.balanced_sample(data, "g", ["k"], k, seed=9), "k", "g") == want
+    assert rows_of(splits.balanced_sample(data, "g", ["k"], k, seed=9), "k", "g") == want
+
+
+@pytest.mark.parametrize("k", [999, 1000, 1001, 1003])
+def test_balanced_sample_takes_equal_keys_together(spark, k):
+    df = spark.range(4000).select((F.col("id") % 2000).alias("k"), F.lit(1).alias("g"))
+    got = splits.balanced_sample(df, "g", ["k"], k)
+    assert got.count() == 2 * k and got.distinct().count() == k
+
+
+def test_exact_split_refuses_equal_keys_across_the_cut(spark):
+    df = spark.createDataFrame([(k,) for k in [1] * 6 + [2] * 5], "k long")
+    with pytest.raises(Exception, match="repeat across the cut"):
+        splits.exact_split(df, ["k"]).collect()
 
 
 def test_prefix(spark, keyed, monkeypatch):

@@ -122,12 +122,14 @@ def test_parts_render_as_the_whole(spark, random_talks, name):
 
 
 def test_turns_without_a_key(spark, random_talks):
-    """Few of them make one nameless conversation; many are refused, not gathered."""
-    turns = turns_of(spark, {1: random_talks[30]}).withColumn("conv_id", F.lit(None).cast("long"))
-    want = texts(render(nest_turns(turns_of(spark, {1: random_talks[30]})), template("chatml_spaced")))
-    assert texts(render(nest_turns(turns), template("chatml_spaced"))) == {None: want[1]}
-    with pytest.raises(ValueError, match="no conv_id"):
-        nest_turns(turns, max_turns=4)
+    """They are dropped or refused, be they few or many."""
+    named = turns_of(spark, {1: random_talks[30]})
+    nameless = named.withColumn("conv_id", F.lit(None).cast("long"))
+    for limit in (4, 1024, None):
+        nested = nest_turns(named.unionByName(nameless), max_turns=limit)
+        assert texts(render(nested, template("chatml_spaced"))).keys() == {1}
+        with pytest.raises(Exception, match="has no conv_id"):
+            nest_turns(named.unionByName(nameless), max_turns=limit, null_key="refuse").rows.collect()
 
 
 def test_parts_are_a_result_of_their_own(spark, random_talks):

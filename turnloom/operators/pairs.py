@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnloom.functions.templates import Template, recover_prompt
 from turnloom.functions.text import strip
-from turnloom.operators.nest import SIDES, Nested
+from turnloom.operators.nest import SALTS, SIDES, Nested
 from turnloom.operators.rank import range_rank
 from turnloom.operators.select import drop_empty
 from turnloom.schemas import message
@@ -50,8 +50,6 @@ def role_aligned(nested: Nested) -> DataFrame:
         F.zip_with("chosen", "rejected", lambda c, r: c["role"].eqNullSafe(r["role"])), lambda x: x
     )
     rows = with_status(nested).select("conv_id", ((F.col("status") == "ok") & same).alias("aligned"))
-    if nested.parts is None:
-        return rows
     return rows.groupBy("conv_id").agg(F.bool_and("aligned").alias("aligned"))
 
 
@@ -101,8 +99,8 @@ def pair_candidates(nested: Nested, skip_leading_system: bool = False) -> DataFr
 
     ``pair_idx`` is the position of the user message in the conversation.
     """
-    if skip_leading_system and nested.parts is not None:
-        raise ValueError("skip_leading_system needs unsplit conversations: raise max_turns")
+    if nested.parts is not None and skip_leading_system != nested.skips_system:
+        raise ValueError("long conversations were cut for another skip_leading_system")
     return (
         with_status(nested)
         .filter(F.col("status") == "ok")
@@ -151,12 +149,14 @@ def drop_bad_batches(pairs: DataFrame, statuses: DataFrame, batch_size: int = 10
     batched = range_rank(flags, ["conv_id"]).withColumn(
         "_batch", F.expr(f"rank div {int(batch_size)}")
     )
-    good = (
+    bad = (
         batched.withColumn("_bad", F.bool_or("_bad").over(W.partitionBy("_batch")))
-        .filter(~F.col("_bad"))
-        .select("conv_id")
+        .filter(F.col("_bad"))
+        .select("conv_id", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("_salt"))
     )
-    return pairs.join(good, "conv_id", "left_semi")
+    # The pairs of one conversation are spread over the salts.
+    salted = pairs.withColumn("_salt", F.pmod(F.hash("pair_idx"), F.lit(SALTS)))
+    return salted.join(bad, ["conv_id", "_salt"], "left_anti").drop("_salt")
 
 
 def rendered_prompts(pairs: DataFrame, template: Template) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from turnloom.functions.templates import IM_END, IM_START, Template, instruct_prompt
+from turnloom.functions.templates import BOS, EOS, IM_END, IM_START, Template, instruct_prompt
 from turnloom.functions.text import strip
 from turnloom.schemas import message
 
@@ -56,7 +56,7 @@ def clean_response(
     output: Column,
     prompt: Column,
     skip_special: bool = True,
-    special_tokens: Sequence[str] = (IM_START, IM_END),
+    special_tokens: Sequence[str] = (IM_START, IM_END, BOS, EOS),
 ) -> Column:
     """Cut the prompt off the front, optionally drop special tokens, strip."""
     answer = F.substring(output, F.length(prompt) + 1, F.length(output))

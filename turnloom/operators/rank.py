@@ -30,9 +30,17 @@ def counted_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
-def range_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataFrame:
+def range_rank(
+    df: DataFrame,
+    order: Sequence[str],
+    rank: str = "rank",
+    bounds: Sequence[Column | str] | None = None,
+) -> DataFrame:
     """Add the 0-based position of each row in ascending ``order``.
 
+    Range bounds are found from samples that pass through the driver. Where ``order`` ends
+    with long texts, ``bounds`` names columns that grow with it and are short.
+
     The sampled range bounds must be the same for the partition sizes and for the rows,
     so the sorted rows are written to the shared folder first. The table is columnar:
     the sizes are then read from the row numbers alone.
@@ -40,7 +48,7 @@ def range_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataF
     row_id, part, size, before = "_row_id", "_part", "_size", "_before"
     path = fresh_path(df.sparkSession, "rank")
     (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*(bounds or order))
         .sortWithinPartitions(*order)
         .withColumn(row_id, F.monotonically_increasing_id())
         .write.parquet(path)
@@ -102,30 +110,38 @@ def hash_cutoff(
     quota: Column,
     flag: str,
     groups: Sequence[str] = (),
+    repeated: str = "refuse",
 ) -> DataFrame:
     """Flag the ``quota`` lowest rows of each group in seeded hash order, exactly.
 
     ``quota`` may use the column ``_total``, the row count of the group. Only the last
     selected row of each group has to be found; it is looked up in the one hash bucket
     where the quota runs out. All other rows are then compared with it, so the table
-    itself is never sorted and, without groups, not shuffled either. ``keys`` must be
-    unique within a group.
+    itself is never sorted and, without groups, not shuffled either.
+
+    Rows with equal keys have one place in the order. ``repeated="refuse"``: the job fails if
+    such a place lies across the cut, since no exact cut exists. ``repeated="together"``:
+    places are counted instead of rows, and all rows of a chosen place are flagged.
     """
+    if repeated not in ("refuse", "together"):
+        raise ValueError(f"unknown rule for repeated keys {repeated!r}")
     hashed = df.withColumn("_hash", order_hash(keys, seed))
     place = F.struct("_hash", *keys)
-    edges = _edges(hashed, groups, quota)
+    places = hashed.select(*dict.fromkeys([*groups, *keys]), "_hash")
+    if repeated == "together":
+        places = places.distinct()
+    edges = _edges(places, groups, quota)
     if not groups:
         edges = F.broadcast(edges)  # a single row
-    in_edge = (
-        hashed.select(*dict.fromkeys([*groups, *keys]), "_hash")
-        .withColumn("_bucket", _bucket("_hash"))
-        .join(edges, [*groups, "_bucket"])
-    )
-    nth = F.row_number().over(W.partitionBy(*groups, "_bucket").orderBy("_hash", *keys))
+    in_edge = places.withColumn("_bucket", _bucket("_hash")).join(edges, [*groups, "_bucket"])
+    in_order = W.partitionBy(*groups, "_bucket").orderBy("_hash", *keys)
+    torn = F.coalesce(F.lead(place).over(in_order) == place, F.lit(False))
+    refused = F.raise_error(F.lit(f"keys {list(keys)} repeat across the cut"))
     last = (
-        in_edge.withColumn("_nth", nth)
+        in_edge.withColumn("_torn", torn)
+        .withColumn("_nth", F.row_number().over(in_order))
         .filter(F.col("_nth") == F.col("_need"))
-        .select(*groups, place.alias("_last"))
+        .select(*groups, F.when(F.col("_torn"), refused.cast("void")).otherwise(place).alias("_last"))
     )
     if groups:
         last = counted_broadcast(last)

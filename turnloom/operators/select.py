@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnloom.operators.rank import range_rank
 
-# Up to this many keys are kept in a top-n heap; a longer prefix is found by rank.
-HEAP_LIMIT = 1_000_000
+# Up to this many keys are kept in a top-n heap per task; a longer prefix is found by rank
+# over range partitions. Both give the same key.
+HEAP_LIMIT = 1_000
 
 
 def drop_null(df: DataFrame, col: str = "text") -> DataFrame:
@@ -51,9 +52,10 @@ def take_prefix(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.filter(in_prefix(df, key, n))
 
 
-def take_penultimate(df: DataFrame, key: str) -> DataFrame:
-    """Rows of the second highest key; none if there is only one key."""
-    top = df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.desc(key)).limit(2)
+def take_penultimate(df: DataFrame, key: str, among: DataFrame | None = None) -> DataFrame:
+    """Rows of the second highest key; none if there is only one key. ``among`` may hold the
+    keys to choose from."""
+    top = (df if among is None else among).select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.desc(key)).limit(2)
     second = top.agg(F.when(F.count("*") == 2, F.min(key)))
     return df.filter(F.col(key) == second.scalar())
 

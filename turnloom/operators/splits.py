@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from turnloom.operators.rank import hash_cutoff, order_hash
+from turnloom.operators.rank import hash_cutoff
 from turnloom.operators.select import in_prefix
 
-# Spark prunes row_number() <= k before the shuffle up to this k
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-PRUNED_TOP_K = 1000
-
 
 def exact_split(
     df: DataFrame,
@@ -24,7 +20,9 @@ def exact_split(
     """Add ``split``: exactly ``ceil(share * n)`` rows are ``eval``, the rest ``train``.
 
     The share is a fraction of integers. The eval rows are those with the lowest seeded
-    hash of their key, so the split is the same under any partitioning.
+    hash of their key, so the split is the same under any partitioning. The job fails if
+    equal keys lie across the cut. The input is read three times (histogram, cut, result):
+    store it first if it is costly to compute.
     """
     num, den = (int(x) for x in eval_share)
     if not 0 <= num <= den or den < 1:
@@ -86,17 +84,18 @@ def overlap_audit(df: DataFrame, key: str, text: str = "text", split: str = "spl
 def balanced_sample(
     df: DataFrame, stratum: str, keys: Sequence[str], per_stratum: int, seed: int = 42
 ) -> DataFrame:
-    """At most ``per_stratum`` rows of each stratum, lowest seeded hash first.
+    """The rows of the ``per_stratum`` lowest keys of each stratum in seeded hash order.
 
-    Small samples use a ranked window, which Spark prunes to ``per_stratum`` rows per
-    task before the shuffle. Larger ones use a hash cut-off per stratum, so that a hot
-    stratum is never sorted in one task.
+    With unique keys that is at most ``per_stratum`` rows; rows that share a key are taken
+    together. The keys are cut off per stratum by a histogram (see ``hash_cutoff``), for any
+    size of the sample, so that a hot stratum is never sorted in one task and complete rows
+    are only compared with the cut.
     """
-    if per_stratum <= PRUNED_TOP_K:
-        hashed = df.withColumn("_hash", order_hash(keys, seed))
-        nth = F.row_number().over(W.partitionBy(stratum).orderBy("_hash", *keys))
-        return hashed.withColumn("_nth", nth).filter(F.col("_nth") <= per_stratum).drop("_hash", "_nth")
+    if per_stratum < 1:
+        return df.limit(0)
     known = F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum")
     tagged = df.select("*", F.struct(F.col(stratum).isNull().alias("none"), known).alias("_group"))
-    picked = hash_cutoff(tagged, keys, seed, F.lit(per_stratum), "_picked", ["_group"])
+    picked = hash_cutoff(
+        tagged, keys, seed, F.lit(per_stratum), "_picked", ["_group"], repeated="together"
+    )
     return picked.filter("_picked").drop("_picked", "_group")

@@ -55,6 +55,18 @@ CHAT_PAIRS = T.StructType(
 )
 
 
+def keyed(schema: T.StructType, key: T.DataType) -> T.StructType:
+    """``schema`` with a ``conv_id`` of another type."""
+    return T.StructType(
+        [T.StructField(f.name, key if f.name == "conv_id" else f.dataType) for f in schema.fields]
+    )
+
+
+def keyless(schema: T.StructType) -> T.StructType:
+    """``schema`` without the key columns, as data has it that was never keyed."""
+    return T.StructType([f for f in schema.fields if f.name not in ("conv_id", "pair_idx")])
+
+
 class SchemaError(ValueError):
     """A table lacks a column an operator needs, or has it with another type."""
 

@@ -51,6 +51,25 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_made: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/turnloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/turnloom-{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has stored at fresh paths, and nothing else.
+
+    Results that still read from there must have been written or collected before. Returns
+    the number of paths deleted. Checkpoints are left to ``spark.cleaner``.
+    """
+    jvm, done = spark._jvm, 0
+    conf = spark._jsc.hadoopConfiguration()
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(place.getFileSystem(conf).delete(place, True))
+    return done

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from turnloom.functions.templates import normal_role
-from turnloom.schemas import CONVERSATIONS, check_columns, message
+from turnloom.schemas import CONVERSATIONS, check_columns, keyless, message
 
 Adapter = Callable[[DataFrame], DataFrame]
 
@@ -37,6 +37,7 @@ ADAPTERS: dict[str, Adapter] = {"sharegpt": from_sharegpt, "role_content": from_
 def adapt(
     df: DataFrame, adapter: str | Adapter, result: T.StructType = CONVERSATIONS
 ) -> DataFrame:
-    """Apply a built-in or the caller's own adapter and check what it returns."""
+    """Apply a built-in or the caller's own adapter and check what it returns; a key may be
+    of any type."""
     fn = ADAPTERS[adapter] if isinstance(adapter, str) else adapter
-    return check_columns(df.transform(fn), result)
+    return check_columns(df.transform(fn), keyless(result))

@@ -1,15 +1,17 @@
 """SQL counterparts of the registered queries, in another formulation.
 
 Conversations stay long here: positions come from windows, messages are joined with
-``string_agg``, and pairs are self-joins. Nothing is derived from the Spark code.
+``string_agg``, and pairs are self-joins. Only the parameters of the queries and the system
+prompts of the fixtures are imported.
 """
 
 from __future__ import annotations
 
-from turnloom.functions.text import WHITESPACE
 from turnloom.workload.queries import (
     BATCH,
+    DOCUMENT_PREFIX,
     EVAL_PREFIX,
+    MANY_PER_LANG,
     PAIR_BUDGET,
     PER_LANG,
     PREFIX,
@@ -23,7 +25,10 @@ def _chars(text: str) -> str:
     return "(" + " || ".join(f"chr({ord(c)})" for c in text) + ")"
 
 
-WS = _chars(WHITESPACE)
+# The white space that is stripped.
+STRIPPED = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+STRIPPED += [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS = _chars("".join(map(chr, STRIPPED)))
 NL = "chr(10)"
 
 POS = """
@@ -280,10 +285,15 @@ UNION ALL
 SELECT conv_id, 'eval' FROM (SELECT conv_id FROM ids WHERE conv_id IS NOT NULL
                              ORDER BY conv_id LIMIT {EVAL_PREFIX}) y""",
     "tail_preview": _with(
-        SPACED_TEXTS,
+        SPACED_TEXTS
+        + """,
+printed AS (
+  SELECT conv_id FROM conversations WHERE conv_id IS NOT NULL
+  GROUP BY conv_id
+  HAVING NOT bool_or(role IS NULL OR text IS NULL OR (turn = 1 AND conv_id % 2 = 0))
+)""",
         """SELECT conv_id, text FROM texts
-WHERE conv_id = (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
-                 ORDER BY conv_id DESC LIMIT 1 OFFSET 1)""",
+WHERE conv_id = (SELECT conv_id FROM printed ORDER BY conv_id DESC LIMIT 1 OFFSET 1)""",
     ),
     "train_eval_overlap": _with(
         SPLIT_TEXTS
@@ -437,13 +447,74 @@ FROM benchmark"""
         for i, s in SYSTEM_PROMPTS
     ),
     "response_clean": f"""
-SELECT a.conv_id, a.turn,
-       CASE WHEN b.conv_id IS NOT NULL AND (b.role IS NULL OR b.text IS NULL) THEN NULL
-            ELSE trim(replace(replace(a.text, '<|im_start|>', ''), '<|im_end|>', ''), {WS})
-       END AS response
-FROM conversations a
-LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1
-WHERE a.role = 'assistant'""",
+WITH led AS (
+  SELECT conv_id, bool_or(text IS NULL) AS lost FROM conversations
+  WHERE role = 'system' AND turn = 0 GROUP BY conv_id
+),
+logged AS (
+  SELECT a.conv_id, a.turn, a.text,
+         (b.conv_id IS NOT NULL AND (b.role IS NULL OR b.text IS NULL))
+         OR (a.turn > 1 AND coalesce(l.lost, false)) AS no_prompt
+  FROM conversations a
+  LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1
+  LEFT JOIN led l ON l.conv_id = a.conv_id
+  WHERE a.role = 'assistant'
+)
+SELECT conv_id, turn,
+       CASE WHEN NOT no_prompt THEN
+         trim(replace(replace(replace(replace(text, '<|im_start|>', ''), '<|im_end|>', ''),
+                      '<s>', ''), '</s>', ''), {WS}) END AS response,
+       CASE WHEN NOT no_prompt THEN trim('  ' || text || '<|im_end|></s>', {WS}) END AS with_tokens
+FROM logged""",
+    "document_overlap": "\nUNION ALL\n".join(
+        f"""SELECT '{mode}' AS mode, CAST(count(*) AS BIGINT) AS n_eval,
+       CAST(count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM {train})) AS BIGINT) AS n_key_overlap,
+       CAST(count(*) FILTER (WHERE text IN (SELECT text FROM {train})) AS BIGINT) AS n_text_overlap
+FROM (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT {DOCUMENT_PREFIX}) e"""
+        for mode, train in (
+            ("overlap", "documents"),
+            ("disjoint", f"(SELECT * FROM documents ORDER BY doc_id OFFSET {DOCUMENT_PREFIX})"),
+        )
+    ),
+    "disjoint_split": _with(
+        SPLIT_TEXTS,
+        """SELECT conv_id, text, CASE WHEN conv_id IN (SELECT conv_id FROM early) THEN 'eval'
+       ELSE 'train' END AS split FROM texts""",
+    ),
+    "nested_pairs": _with(PAIRS, "SELECT pair_idx, prompt, chosen, rejected FROM pairs"),
+    "keyless_jsonl_split": _with(SPLIT, "SELECT split, count(*) AS n FROM splits GROUP BY split"),
+    "pairs_skip_system": _with(
+        PAIRS.replace("cu.pos % 2 = 0", "cu.pos % 2 = CASE WHEN s.c IN (SELECT c FROM led) THEN 1 ELSE 0 END")
+        .replace(
+            "candidates AS (",
+            """led AS (
+  SELECT c FROM placed WHERE pos = 0 AND role = 'system' GROUP BY c HAVING count(*) = 2
+),
+candidates AS (""",
+        ),
+        "SELECT conv_id, pair_idx, prompt, chosen, rejected FROM pairs",
+    ),
+    "pairs_recovered": _with(
+        PAIRS.replace(
+            "SELECT conv_id AS c, turn AS t, role, text,",
+            f"""SELECT conv_id AS c, turn AS t, role,
+         CASE WHEN role = 'user' AND conv_id % 9 = 4
+              THEN 'q <|im_start|>user ' || {NL} || 'mid <|im_end|> tail ' || text
+              ELSE text END AS text,""",
+        )
+        + f""",
+shown AS (SELECT *, {spaced("'user'", "prompt")} || {SUFFIX} AS rendered FROM pairs)""",
+        f"""SELECT conv_id, pair_idx, chosen, rejected,
+       trim(string_split(string_split(rendered, '<|im_start|>user ' || {NL})[-1], '<|im_end|>')[1],
+            {WS}) AS prompt
+FROM shown""",
+    ),
+    "balanced_sample_large": f"""
+SELECT doc_id, lang FROM (
+  SELECT doc_id, lang,
+         row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS nth
+  FROM documents) x
+WHERE nth <= {MANY_PER_LANG}""",
     "preference_metrics": _with(
         SPLIT
         + """,
@@ -461,3 +532,5 @@ scored AS (
 FROM scored GROUP BY split""",
     ),
 }
+
+ORACLES["nested_sharegpt_text"] = f"SELECT text FROM ({ORACLES['sft_sharegpt_text']})"

@@ -15,14 +15,13 @@ from turnloom.functions.templates import (
 )
 from turnloom.operators import pairs as P
 from turnloom.operators.metrics import preference_metrics as metrics
-from turnloom.operators.nest import Nested, nest_preferences, nest_turns
+from turnloom.operators.nest import Nested, from_rows, nest_preferences, nest_turns
 from turnloom.operators.prompts import clean_response, instruct_prompts, prompt_grid as grid
 from turnloom.operators.render import render
 from turnloom.operators.select import (
     drop_null,
     exclude_source,
     stage_counts,
-    take_penultimate,
     take_prefix as prefix,
 )
 from turnloom.operators.shaping import (
@@ -38,9 +37,16 @@ from turnloom.operators.splits import (
 )
 from turnloom.plans import preference, sft, training_input
 from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_turns
+from turnloom.schemas import CHAT_PAIRS, SHAREGPT, keyless
 from turnloom.session import fresh_path, shared_dir
-from turnloom.sources.adapters import turns_from_sharegpt
-from turnloom.sources.readers import read_dataset, read_pairs
+from turnloom.sources.adapters import adapt, turns_from_sharegpt
+from turnloom.sources.readers import (
+    read_conversations,
+    read_dataset,
+    read_pairs,
+    read_preferences,
+    with_stored_key,
+)
 from turnloom.sources.writers import write_jsonl, write_splits
 from turnloom.workload import views
 
@@ -51,6 +57,8 @@ EVAL_PREFIX = 40
 PREFIX = 50
 BATCH = 5
 PER_LANG = 20
+MANY_PER_LANG = 1200
+DOCUMENT_PREFIX = 300
 TOKEN_BUDGET = 256
 PAIR_BUDGET = 64
 
@@ -91,8 +99,7 @@ def sft_eval_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tail_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = take_penultimate(views.turns(spark, sf_dir), "conv_id")
-    return sft.texts(shown, chatml_spaced())
+    return sft.preview(views.turns_with_late_gaps(spark, sf_dir), chatml_spaced())
 
 
 def _split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +111,51 @@ def train_eval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_audit(_split_texts(spark, sf_dir), "conv_id")
 
 
+def document_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds of split over documents, which hold exact copies."""
+    docs = views.documents(spark, sf_dir).select("doc_id", "text")
+    audits = [
+        overlap_audit(prefix_split(docs, "doc_id", DOCUMENT_PREFIX, mode), "doc_id").select(
+            F.lit(mode).alias("mode"), "*"
+        )
+        for mode in ("overlap", "disjoint")
+    ]
+    return audits[0].unionByName(audits[1])
+
+
+def disjoint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = nest_turns(views.turns(spark, sf_dir))
+    return sft.split_texts(nested, chatml_spaced(), EVAL_PREFIX, "disjoint")
+
+
+def _written(df: DataFrame, label: str) -> str:
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
+def nested_sharegpt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published shape: nested, other role names, no key."""
+    path = _written(views.sharegpt_rows(spark, sf_dir), "sharegpt")
+    rows = adapt(read_conversations(spark, path, schema=SHAREGPT), "sharegpt")
+    return drop_null(render(from_rows(rows), chatml_spaced())).select("text")
+
+
+def nested_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published shape: nested preferences without a key."""
+    path = _written(views.preference_rows(spark, sf_dir), "preferences")
+    pairs = preference.pairs_from_rows(read_preferences(spark, path))
+    return pairs.select("pair_idx", "prompt", *P.SIDES)
+
+
+def keyless_jsonl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSONL as it is handed on, without keys, keyed and split exactly."""
+    path = fresh_path(spark, "keyless")
+    write_jsonl(P.chat_format(_pairs(spark, sf_dir)), path, drop=KEYS)
+    rows = with_stored_key(read_pairs(spark, path, keyless(CHAT_PAIRS)))
+    return split_exactly(rows, ["conv_id"]).groupBy("split").agg(F.count("*").alias("n"))
+
+
 def dataset_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "dataset")
     write_splits(_split_texts(spark, sf_dir), root)
@@ -195,6 +247,20 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pairs_skip_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir, skip_leading_system=True)
+
+
+def pairs_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with template markers come back from JSONL as they were recovered."""
+    marked = views.preference_turns(spark, sf_dir, markers=True)
+    path = fresh_path(spark, "recovered")
+    preference.prepare(
+        pairs_from_turns(marked, probe=views.turns(spark, sf_dir)), path, recover=True
+    )
+    return P.plain_pairs(read_pairs(spark, path))
+
+
 def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = _stored(_pairs(spark, sf_dir).select(*KEYS))
     return split_exactly(keys, KEYS)
@@ -241,6 +307,11 @@ def balanced_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample(docs, "lang", ["doc_id"], PER_LANG)
 
 
+def balanced_sample_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = views.documents(spark, sf_dir).select("doc_id", "lang")
+    return sample(docs, "lang", ["doc_id"], MANY_PER_LANG)
+
+
 def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = sft.texts(views.turns(spark, sf_dir), chatml_spaced())
     return budget(texts, TOKEN_BUDGET).drop("text")
@@ -258,8 +329,13 @@ def prompt_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     logged = views.logged_generations(spark, sf_dir)
-    response = clean_response(F.col("output"), F.col("prompt"))
-    return logged.select("conv_id", "turn", response.alias("response"))
+    output, prompt = F.col("output"), F.col("prompt")
+    return logged.select(
+        "conv_id",
+        "turn",
+        clean_response(output, prompt).alias("response"),
+        clean_response(output, prompt, skip_special=False).alias("with_tokens"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -297,5 +373,13 @@ QUERIES: dict[str, Query] = {
     "completion_spans": completion_spans,
     "prompt_grid": prompt_grid,
     "response_clean": response_clean,
+    "document_overlap": document_overlap,
+    "disjoint_split": disjoint_split,
+    "nested_sharegpt_text": nested_sharegpt_text,
+    "nested_pairs": nested_pairs,
+    "keyless_jsonl_split": keyless_jsonl_split,
+    "pairs_skip_system": pairs_skip_system,
+    "pairs_recovered": pairs_recovered,
+    "balanced_sample_large": balanced_sample_large,
     "preference_metrics": preference_metrics,
 }

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from turnloom.functions.templates import IM_END, chatml_compact
-from turnloom.operators.nest import SIDES
+from turnloom.functions.templates import EOS, IM_END, chatml_compact
+from turnloom.operators.nest import SIDES, nest_preferences, nest_turns
 from turnloom.plans.preference import EXCLUDED_SOURCE
 from turnloom.schemas import message
 from turnloom.sources.readers import read_turns
@@ -53,6 +53,37 @@ def turns_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).withColumn("content", F.when(~lost, F.col("content")))
 
 
+def turns_with_late_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of which every other conversation lacks a content, late ones too."""
+    lost = (F.col("conv_id") % 2 == 0) & (F.col("turn") == 1)
+    return turns(spark, sf_dir).withColumn("content", F.when(~lost, F.col("content")))
+
+
+def with_markers(base: DataFrame) -> DataFrame:
+    """Turns of which some user messages hold template markers."""
+    marked = (F.col("role") == "user") & (F.col("conv_id") % 9 == 4)
+    marks = F.lit("q <|im_start|>user \nmid <|im_end|> tail ")
+    return base.withColumn(
+        "content", F.when(marked, F.concat(marks, "content")).otherwise(F.col("content"))
+    )
+
+
+def sharegpt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 as it is published: one row per conversation, without a key."""
+    named = sharegpt_turns(spark, sf_dir).withColumnsRenamed({"from": "role", "value": "content"})
+    nested = nest_turns(named, max_turns=None).whole
+    said = F.transform(
+        "messages", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value"))
+    )
+    return nested.select(said.alias("conversations"))
+
+
+def preference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 as it is published: one row per conversation, without a key."""
+    nested = nest_preferences(preference_turns(spark, sf_dir), max_turns=None).whole
+    return nested.select("source", *SIDES)
+
+
 def source_of(conv_id: Column) -> Column:
     return F.when(conv_id % 10 == 0, EXCLUDED_SOURCE).when(
         conv_id % 10 != 1, F.concat(F.lit("src"), (conv_id % 20).cast("string"))
@@ -65,9 +96,10 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.withColumn("source", source_of(F.col("conv_id")))
 
 
-def preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def preference_turns(spark: SparkSession, sf_dir: str, markers: bool = False) -> DataFrame:
     """``conv_id, source, side, turn, role, content``."""
     base = turns(spark, sf_dir)
+    base = with_markers(base) if markers else base
     c, t, role, content = (F.col(x) for x in ("conv_id", "turn", "role", "content"))
     # The answer of the next conversation at the same turn serves as rejected answer.
     other = base.filter(role == "assistant").select(
@@ -104,23 +136,29 @@ def preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logged_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conv_id, turn, prompt, output`` of each assistant turn.
 
-    The prompt is the turn before, ready for generation.
+    The prompt is the leading system message, if there is one, and the turn before, ready
+    for generation.
     """
     base = turns(spark, sf_dir)
+    leading = base.filter((F.col("role") == "system") & (F.col("turn") == 0)).groupBy("conv_id").agg(
+        F.first(message("role", "content")).alias("system")
+    )
     before = base.select(
         "conv_id", (F.col("turn") + 1).alias("turn"), message("role", "content").alias("m")
     )
     answers = base.filter(F.col("role") == "assistant").select("conv_id", "turn", "content")
-    asked = F.when(F.col("m").isNull(), F.array().cast("array<struct<role:string,content:string>>"))
-    prompt = chatml_compact().text(asked.otherwise(F.array("m")), generation=True)
+    asked = F.filter(
+        F.array(F.when(F.col("turn") > 1, F.col("system")), F.col("m")), lambda m: m.isNotNull()
+    )
     return (
         answers.join(before, ["conv_id", "turn"], "left")
-        .withColumn("prompt", prompt)
+        .join(leading, "conv_id", "left")
+        .withColumn("prompt", chatml_compact().text(asked, generation=True))
         .select(
             "conv_id",
             "turn",
             "prompt",
-            F.concat("prompt", F.lit("  "), "content", F.lit(IM_END)).alias("output"),
+            F.concat("prompt", F.lit("  "), "content", F.lit(IM_END + EOS)).alias("output"),
         )
     )
 
