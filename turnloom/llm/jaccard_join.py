@@ -126,44 +126,71 @@ def _blobs(ids, rows, hashes, own, marks, info, buckets) -> Iterator[pa.RecordBa
     )
 
 
-def count_shared(rows: pa.Table) -> pa.Table:
-    """How many shingles of one bucket each document shares; and what tasks said of rows."""
-    info = [np.frombuffer(x, np.int64).reshape(5, -1) for x in rows.column("info").to_pylist() if x]
-    info = np.concatenate(info, axis=1) if info else np.zeros((5, 0), np.int64)
-    index = rows.filter(rows.column("docs").is_valid())
-    join = lambda c, kind: np.frombuffer(b"".join(index.column(c).to_pylist()), dtype=kind)
-    of = np.repeat(join("docs", np.int64), join("counts", np.uint32))
-    shingles, marks = join("shingles", np.uint32), join("marks", np.uint32)
-    every = np.concatenate([shingles, marks, marks])  # a mark stands for at least two
-    order = np.argsort(every, kind="stable")
-    at = breaks((every[order], 0))
-    counts = np.diff(np.append(at, len(order)))
-    shared = np.zeros(len(every), dtype=bool)
-    shared[order] = np.repeat(counts > 1, counts)
-    ids, m = np.unique(of[shared[: len(of)]], return_counts=True)
-    none = [None] * len(ids)
-    lists = [
-        [*info[0].tolist(), *ids.tolist()],
-        [*info[1].tolist(), *m.tolist()],
-        *[[*info[k].tolist(), *none] for k in (2, 3, 4)],
-        [*[1] * info.shape[1], *[0] * len(ids)],
-    ]
+def count_shared(groups: int):
+    """How many shingles of one bucket each document shares, for each group of documents;
+    what tasks said of documents is passed on."""
+
+    def count(rows: pa.Table) -> pa.Table:
+        info = _info(rows)
+        index = rows.filter(rows.column("docs").is_valid())
+        of = np.repeat(_cells(index, "docs", np.int64), _cells(index, "counts", np.uint32))
+        shingles, marks = _cells(index, "shingles", np.uint32), _cells(index, "marks", np.uint32)
+        every = np.concatenate([shingles, marks, marks])  # a mark stands for at least two
+        order = np.argsort(every, kind="stable")
+        at = breaks((every[order], 0))
+        counts = np.diff(np.append(at, len(order)))
+        shared = np.zeros(len(every), dtype=bool)
+        shared[order] = np.repeat(counts > 1, counts)
+        ids, m = np.unique(of[shared[: len(of)]], return_counts=True)
+        group, told = (
+            (mixed(x.astype(np.uint64)) % np.uint64(groups)).astype(np.int64) for x in (ids, info[0])
+        )
+        out = [
+            (g, ids[group == g].tobytes(), m[group == g].tobytes(), info[:, told == g].tobytes())
+            for g in np.union1d(group, told).tolist()
+        ]
+        names, kinds = ["part", "docs", "m", "info"], [pa.int32(), *[pa.binary()] * 3]
+        return pa.table({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate(zip(names, kinds))})
+
+    return count
+
+
+def _cells(rows: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column(column).to_pylist()), dtype=kind)
+
+
+def _info(rows: pa.Table) -> np.ndarray:
+    found = [np.frombuffer(x, np.int64).reshape(5, -1) for x in rows.column("info").to_pylist() if x]
+    return np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
+
+
+def add_up(rows: pa.Table) -> pa.Table:
+    """One row per document of a group: sums over buckets and tasks."""
+    info = _info(rows)
+    ids, first = np.unique(np.concatenate([info[0], _cells(rows, "docs", np.int64)]), return_inverse=True)
+    told = first[: info.shape[1]]
+    m = np.bincount(first, np.concatenate([info[1], _cells(rows, "m", np.int64)]), len(ids))
+    most = np.full((3, len(ids)), np.iinfo(np.int64).min)
+    for row, values in zip(most, info[2:]):
+        np.maximum.at(row, told, values)
+    columns = [ids, m.astype(np.int64), *most, np.bincount(told, minlength=len(ids))]
     names = ["doc_id", "m", "n", "k1", "k2", "n_rows"]
-    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(names, lists)})
+    return pa.table({c: pa.array(x.astype(np.int64)) for c, x in zip(names, columns)})
 
 
 def survey(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, k1, k2, m, n_rows) of each document: set size, set key, shared shingles."""
+    """(doc_id, n, k1, k2, m, n_rows) of each document: set size, set key, shared shingles.
+
+    Counts go from buckets of shingles to groups of documents in blocks, not as rows.
+    """
     ship(docs.sparkSession)
     docs = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(12, chars // 6 // BUCKET_SHINGLES)  # about six bytes a word
-    counted = _cut(docs, size, buckets).groupBy("bucket").applyInArrow(count_shared, SHARED)
-    return counted.groupBy("doc_id").agg(
-        F.sum("m").alias("m"),
-        *[F.max(c).alias(c) for c in ("n", "k1", "k2")],
-        F.sum("n_rows").alias("n_rows"),
+    counted = _cut(docs, size, buckets).groupBy("bucket").applyInArrow(
+        count_shared(buckets), "part int, docs binary, m binary, info binary"
     )
+    return counted.groupBy("part").applyInArrow(add_up, SHARED)
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
