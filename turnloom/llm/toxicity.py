@@ -42,7 +42,7 @@ EPOCHS = 6
 BATCH = 128
 RATE = 0.01
 BLOCK = 4096  # windows scored at once
-SLICE = 4_000_000  # bytes of text that share their distinct words
+SLICE = 2_000_000  # bytes of text that share their distinct words
 
 SEPARATOR = np.array(
     [not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) for c in range(256)]
