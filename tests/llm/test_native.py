@@ -247,3 +247,91 @@ def test_op6_keeps_turn_order_without_quotes(spark, sf_dir):
     text = {(r["conv_id"], r["turn"]): r["text"] for r in given}
     assert all(r["text"] == text[r["conv_id"], r["turn"]].strip("\n \t") for r in rows)
     assert all(r["position"] == r["depth"] for r in rows)
+
+
+def parts_of(lines):
+    """(places, text) of the lines, paragraphs and whole of a passage of (place, line)."""
+    flat = [(k, " ".join(x.lower().split())) for k, x in lines]
+    paragraphs, run = [], []
+    for k, x in [*flat, (None, "")]:
+        if x:
+            run.append((k, x))
+        elif run:
+            paragraphs.append(run)
+            run = []
+    parts = [[x] for p in paragraphs for x in p] + paragraphs + [[x for p in paragraphs for x in p]]
+    return [([k for k, _ in p], " ".join(x for _, x in p)) for p in parts if p]
+
+
+def quoted_parents(messages):
+    """turn -> parent turn of one conversation; every part of every length is looked for."""
+    first, out = {}, {}
+    for turn, text in sorted(messages):
+        lines = text.split("\n")
+        level = [x[: len(x) - len(x.lstrip("> "))].count(">") for x in lines]
+        body = [x.lstrip("> ") if v else x for v, x in zip(level, lines)]
+        passages = []
+        for k, v in enumerate(level):
+            if k and level[k - 1] == v:
+                passages[-1][1].append((k, body[k]))
+            else:
+                passages.append((v, [(k, body[k])]))
+        votes = Counter()
+        for v, lines in passages:
+            best = {}
+            for places, text in parts_of(lines):
+                if v and text in first:
+                    for k in places:
+                        best[k] = max(best.get(k, (0, 0)), (len(places), first[text]))
+            for k, (_, t) in best.items():
+                votes[v, t] += len(" ".join(body[k].lower().split()))
+        out[turn] = max(votes, key=lambda c: (-c[0], votes[c], c[1]))[1] if votes else (turn - 1 if turn else None)
+        own = [(v, x) for v, x in passages if not v] + [(0, [(k, x) for k, (v, x) in enumerate(zip(level, body)) if not v])]
+        for _, lines in own:
+            for _, text in parts_of(lines):
+                first.setdefault(text, turn)
+    return out
+
+
+def test_short_and_rewrapped_quotes(spark):
+    rng = random.Random(12)
+    rows = []
+    for conv in range(40):
+        own = []
+        for turn in range(rng.randrange(2, 12)):
+            lines = [" ".join(rng.choice(["ja", "no", "ok", "go on"]) for _ in range(rng.randrange(0, 4))) for _ in range(rng.randrange(1, 6))]
+            body = "\n".join(lines)
+            text = body
+            if own and rng.random() < 0.7:
+                quote = rng.choice(own)
+                if rng.random() < 0.5:
+                    w = quote.split()
+                    quote = "\n".join(" ".join(w[k : k + 3]) for k in range(0, len(w), 3))
+                text = "\n".join("> " + x for x in quote.split("\n")) + "\n" + body
+            own.append(body)
+            rows.append((conv, turn, text))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = defaultdict(dict)
+    for r in Q.link_quotes(df).collect():
+        got[r["conv_id"]][r["turn"]] = r["parent_turn"]
+    for conv in range(40):
+        assert got[conv] == quoted_parents([(t, x) for c, t, x in rows if c == conv])
+
+
+def test_quotes_of_any_length_and_wrapping(spark):
+    long = "one two three four five six seven"
+    rows = [
+        (1, 0, "Agreed."),
+        (1, 1, "Something else"),
+        (1, 2, "> Agreed.\nGood"),
+        (2, 0, f"{long}\n\nlast part"),
+        (2, 1, "no"),
+        (2, 2, "> one two three\n> four five\n> six seven\nyes"),
+        (2, 3, "> one two\n> three four five six seven last\n> part\nyes"),
+        (3, 0, "好的。今天下午三点开会"),
+        (3, 1, "x"),
+        (3, 2, "> 好的。今天\n> 下午三点开会\n行"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {(r["conv_id"], r["turn"]): r["parent_turn"] for r in Q.link_quotes(df).collect()}
+    assert [got[k] for k in ((1, 2), (2, 2), (2, 3), (3, 2))] == [0, 0, 0, 0]

@@ -1,14 +1,21 @@
 """Chat formatting by quotation linking (DataFrame operations only).
 
 Lines that begin with ">" are quoted; the number of marks is the quote level. What is left of
-a message is its own text. Each own line is hashed in normal form (lower case, single
-spaces); the earliest message of a conversation that has a line is the line's original. A
+a message is its own text. Passages are runs of lines of one level. Each line, each paragraph
+of a passage, each passage and each whole own text, of any length, is hashed in normal form
+(lower case, single spaces also for line ends, none between letters of scripts that are
+written without), so a quote that the client has wrapped anew is still known. The earliest
+message of a conversation that has the same of its own is the original. A quoted line belongs
+to the original of the longest of passage, paragraph and line that has one. A
 message replies to the original of most of the characters that it quotes at its lowest
 matched level (the later one of equals); without a matched quote it replies to the message
 before it. The conversation is then put in reply order: every message after the one it replies to,
 replies to one message by their turn, each with all that follows from it (depth first).
 
-Skew. The index has one row per conversation and line, so a line that everybody writes or
+Limit. A quote that is wrapped anew and is neither a whole line, paragraph, passage nor own text
+of its original (half a paragraph, say) is not found.
+
+Skew. The index has one row per conversation and hash, so a line that everybody writes or
 quotes joins with one row. "The message before" comes from global ranks over range
 partitions, not from a window per conversation. Conversations in which every message replies
 to the one before are in order as they are; for the others, reply order is the rank in the
@@ -31,11 +38,17 @@ from turnloom.operators.rank import range_rank
 MARKS = r"^(?:[ \t]*>)+"
 # "On Monday A wrote:" and the like, directly before a quote.
 ATTRIBUTION = r"^\s*(?:On|Am|Le|El)\b.*(?:wrote|schrieb|écrit|escribió)[^\n]*:\s*$"
-MIN_CHARS = 8
+MIN_CHARS = 1  # every line that is not empty
+# A space between letters of scripts that are written without spaces.
+UNSPACED = (
+    r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+    r"\x{3000}-\x{303F}\x{FF00}-\x{FFEF}]"
+)
+JOINT = f" (?<={UNSPACED} )(?={UNSPACED})"
 
 
 def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
+    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(line), r"\s+", " ")), JOINT, "")
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -55,27 +68,113 @@ def parsed(messages: DataFrame) -> DataFrame:
     ).drop("_q_raw", "_q_marks")
 
 
-def own_text(lines: Column) -> Column:
+def without_attributions(lines: Column) -> Column:
     """Lines of level 0, without attributions of the quote that follows."""
-    own = F.filter(
+    return F.filter(
         lines,
         lambda x, i: (x["level"] == 0)
         & ~(x["line"].rlike(ATTRIBUTION) & (F.coalesce(F.get(lines, i + 1)["level"], F.lit(0)) > 0)),
     )
+
+
+def own_text(lines: Column) -> Column:
+    own = without_attributions(lines)
     return F.trim(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), F.lit("\n \t"))
 
 
+def units(ranked: DataFrame) -> DataFrame:
+    """(_q_conv, _q_rank, level, hash, lines): every line, paragraph of several lines and passage
+    of several paragraphs; also the whole own text of a message with quotes. ``lines`` has
+    the place and the length of each line.
+
+    Each step is a column of its own, since an expression used inside a lambda is evaluated
+    anew for every element.
+    """
+    lines, starts, run, ends = F.col("_q_lines"), F.col("starts"), F.col("run"), F.col("ends")
+
+    def numbered(of: Column) -> Column:
+        return F.transform(
+            of, lambda x, i: F.struct(x["level"].alias("level"), i.alias("at"), normal(x["line"]).alias("line"))
+        )
+
+    flat, own = F.col("flat"), F.col("own")
+    runs = (
+        ranked.filter(F.size("_q_lines") > 0)
+        .select(
+            "_q_conv",
+            "_q_rank",
+            numbered(lines).alias("flat"),
+            F.when(F.exists(lines, lambda x: x["level"] > 0), numbered(without_attributions(lines))).alias("own"),
+        )
+        .withColumn(
+            "starts",
+            F.filter(
+                F.sequence(F.lit(0), F.size(flat) - 1),
+                lambda i: (i == 0) | (F.get(flat, i)["level"] != F.get(flat, i - 1)["level"]),
+            ),
+        )
+        .withColumn(
+            "runs",
+            F.transform(
+                starts, lambda s, k: F.slice(flat, s + 1, F.coalesce(F.get(starts, k + 1), F.size(flat)) - s)
+            ),
+        )
+        .select(
+            "_q_conv",
+            "_q_rank",
+            F.explode(F.when(F.size(own) > 0, F.concat("runs", F.array(own))).otherwise(F.col("runs"))).alias("run"),
+        )
+    )
+    filled = F.col("filled")
+    # Empty lines, and the places before the first and after the last line, end paragraphs.
+    cut = (
+        runs.withColumn("filled", F.filter(run, lambda x: F.length(x["line"]) >= MIN_CHARS))
+        .filter(F.size(filled) > 0)
+        .withColumn(
+            "ends",
+            F.filter(
+                F.sequence(F.lit(-1), F.size(run)),
+                lambda i: (i < 0) | (i >= F.size(run)) | (F.length(F.get(run, i)["line"]) < MIN_CHARS),
+            ),
+        )
+        .withColumn(
+            "paragraphs",
+            F.filter(
+                F.transform(
+                    ends, lambda e, k: F.slice(run, e + 2, F.coalesce(F.get(ends, k + 1), e + 1) - e - 1)
+                ),
+                lambda x: F.size(x) > 0,
+            ),
+        )
+    )
+    whole = F.when(F.size("paragraphs") > 1, F.array(filled)).otherwise(F.slice(F.array(filled), 1, 0))
+    parts = F.concat(
+        F.transform(filled, lambda x: F.array(x)), F.filter("paragraphs", lambda x: F.size(x) > 1), whole
+    )
+    unit = F.col("unit")
+    text = F.regexp_replace(F.array_join(F.transform(unit, lambda x: x["line"]), " "), JOINT, "")
+    return cut.select("_q_conv", "_q_rank", F.explode(parts).alias("unit")).select(
+        "_q_conv",
+        "_q_rank",
+        F.get(unit, F.lit(0))["level"].alias("level"),
+        F.sha2(text, 256).alias("hash"),
+        F.transform(unit, lambda x: F.struct(x["at"].alias("at"), F.length(x["line"]).alias("n"))).alias("lines"),
+    )
+
+
 def replies(ranked: DataFrame) -> DataFrame:
     """(_q_rank, _q_parent) of messages that quote an earlier one of their conversation."""
-    lines = ranked.select(
-        "_q_conv", "_q_rank", F.explode("_q_lines").alias("x")
-    ).select("_q_conv", "_q_rank", "x.level", normal(F.col("x.line")).alias("line"))
-    lines = lines.filter(F.length("line") >= MIN_CHARS).select(
-        "_q_conv", "_q_rank", "level", F.sha2("line", 256).alias("hash"), F.length("line").alias("n")
-    )
-    index = lines.filter("level = 0").groupBy("_q_conv", "hash").agg(F.min("_q_rank").alias("_q_parent"))
-    found = lines.filter("level > 0").join(index, ["_q_conv", "hash"]).filter("_q_parent < _q_rank")
-    weighed = found.groupBy("_q_rank", "level", "_q_parent").agg(F.sum("n").alias("n"))
+    parts = units(ranked)
+    index = parts.filter("level = 0").groupBy("_q_conv", "hash").agg(F.min("_q_rank").alias("_q_parent"))
+    found = parts.filter("level > 0").join(index, ["_q_conv", "hash"]).filter("_q_parent < _q_rank")
+    # The longest part that has an original decides for its lines.
+    lines = found.select(
+        "_q_rank", "level", F.size("lines").alias("size"), "_q_parent", F.explode("lines").alias("x")
+    )
+    decided = lines.groupBy("_q_rank", "level", "x.at").agg(
+        F.max(F.struct("size", "_q_parent"))["_q_parent"].alias("_q_parent"), F.max("x.n").alias("n")
+    )
+    weighed = decided.groupBy("_q_rank", "level", "_q_parent").agg(F.sum("n").alias("n"))
     best = F.max(F.struct(-F.col("level"), "n", "_q_parent"))
     return weighed.groupBy("_q_rank").agg(best["_q_parent"].alias("_q_parent"))
 
