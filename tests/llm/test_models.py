@@ -184,3 +184,25 @@ def test_resampling_edges(spark, monkeypatch):
     assert R.resample(docs.limit(0), labels).collect() == []
     none = R.resample(docs, labels.limit(0)).collect()
     assert all(r["log_weight"] == 0 for r in none)
+
+
+SKIPPED_CASES = [
+    "<head><script>for(i=0;i<n;i++){} // don't</script></head><body><article><p>It's here</p></article>",
+    "<head><title>t</title><meta name=x><article><p>It's here</p></article>",
+    "<head><title>t</title>\n It's here",
+    "<html><head><noscript><img src=x></head><p>It's here</p>",
+    "<body><div><button>Menu</div><p>It's here</p>",
+    "<body><ul><li><select><option>One<li>It's here</ul>",
+    "<body><div><noscript><p>No</div><p>It's here</p>",
+    "<body><div><svg><path></div><p>It's here</p>",
+    "<body><svg><title/><path><p>It's here</p>",
+    "<body><button>Menu<article><p>It's here</p></article></body>",
+    "<body><button><div>No</div><b>no</b></button><svg><style>a</style><desc><p>no</p></desc></svg><p>It's here",
+    "<body><select><option>no</select><template><table><tr><td><p>no</table></template><p>It's here",
+    "<body><object><object>no</object><script>'</object>'</script>no</object><p>It's here",
+]
+
+
+@pytest.mark.parametrize("source", SKIPPED_CASES)
+def test_skipped_elements_end(source):
+    assert [t for t in H.read_page(source).text if t is not None] == ["It's here"]

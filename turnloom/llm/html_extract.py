@@ -12,8 +12,9 @@ All pages of a batch are one forest: messages of one depth are computed together
 whole pages, without a shuffle; only the weights are sent.
 
 Defined results: a null or empty page, and one without content, gives an empty text; broken
-markup is read as far as it goes (unclosed elements end with their parent, an unfinished tag
-at the end is dropped, a bare "<" is text); repeated rows give equal results; an empty table
+markup is read as far as it goes (unclosed elements end with their parent, a head also before
+what cannot stand in it, a button, select or drawing before a part of the page; an unfinished
+tag at the end is dropped, a bare "<" is text); repeated rows give equal results; an empty table
 gives no rows; other columns stay.
 """
 
@@ -50,6 +51,13 @@ PART = re.compile(r"[a-z]+")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea xmp iframe noembed noframes".split())
 SKIPPED = set("head template noscript svg math object select button".split())
+HEAD_PARTS = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
+DRAWINGS = set("svg math".split())
+# Parts of a page, which stand in no button, select or drawing.
+PAGE_PARTS = set("article aside body footer form header main nav section table".split())
+# By these a browser ends a drawing, but for text that stands in its INSETS.
+NOT_DRAWN = set("blockquote center dd div dl dt h1 h2 h3 h4 h5 h6 li menu ol p pre ul".split())
+INSETS = set("foreignobject desc annotation-xml".split())
 KINDS = {
     "main": "article main",
     "section": "section div center figure details hgroup",
@@ -109,14 +117,38 @@ class Page:
         return len(self.parent) - 1
 
 
+def ends_skipped(skipped: list[str], tag: str, above: list[str]) -> bool:
+    """Whether the start of ``tag`` ends the first of ``skipped``; ``above`` are the elements
+    that it stands in."""
+    outer = skipped[0]
+    if tag == "body" or (skipped == ["head"] and tag not in HEAD_PARTS):
+        return True
+    if "template" in skipped:
+        return False
+    if outer in ("button", "select") or outer in DRAWINGS and not INSETS & set(skipped):
+        if tag in PAGE_PARTS or tag == outer and outer not in DRAWINGS:
+            return True
+    if outer in DRAWINGS and tag in NOT_DRAWN and not INSETS & set(skipped):
+        return True
+    if skipped == ["head", "noscript"] and tag in PAGE_PARTS:
+        return True
+    # The next item or cell ends the one that the skipped element stands in.
+    ended = ENDS_ITSELF.get(tag, "").split()
+    if ended and not any(t in STOPS or t in ended for t in skipped):
+        for name in reversed(above):
+            if name in ended or name in STOPS:
+                return name in ended
+    return False
+
+
 def read_page(source: str | None) -> Page:
     """The tree of block elements and runs of text; decoded, white space made single."""
     page = Page()
     stack = [(page.add(-1, "root", ["one", "kind root"], None, 0), "")]
     run: list[str] = []
     linked = 0  # characters of the run inside links
-    link_depth = skip_depth = 0
-    skipping = ""
+    link_depth = 0
+    skipped: list[str] = []  # the skipped element and what is open in it
 
     def flush() -> None:
         nonlocal linked
@@ -145,18 +177,34 @@ def read_page(source: str | None) -> Page:
     while found := TOKEN.match(source, at):
         at = found.end()
         text, tag = found["text"], (found["tag"] or "").lower()
+        if skipped:
+            if text is not None:
+                ended = skipped == ["head"] and not text.isspace()
+            elif found["close"]:
+                ended = tag not in skipped and any(name == tag for _, name in stack)
+            else:
+                ended = bool(tag) and ends_skipped(skipped, tag, [name for _, name in stack])
+            if ended:
+                skipped.clear()
         if text is not None:
-            if not skipping:
+            if not skipped:
                 run.append(text)
                 linked += len(text) if link_depth else 0
         elif not tag:
             continue
-        elif skipping:
-            if tag == skipping:
-                skip_depth += -1 if found["close"] else 1
-            # Content of a page never stands in its head.
-            if not skip_depth or (skipping == "head" and tag == "body"):
-                skipping = ""
+        elif tag in RAW and not found["close"]:
+            end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(source, at)
+            # In a drawing they may be empty or unclosed elements like others.
+            if not DRAWINGS.intersection(skipped):
+                at = len(source) if end is None else end.start()
+            elif end is not None and not found["rest"].endswith("/"):
+                at = end.start()
+        elif skipped:
+            if found["close"]:
+                if tag in skipped:
+                    del skipped[len(skipped) - 1 - skipped[::-1].index(tag) :]
+            elif (tag in KIND_OF or tag in SKIPPED or tag in INSETS) and not found["rest"].endswith("/"):
+                skipped.append(tag)
         elif found["close"]:
             if tag in KIND_OF:
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == tag), 0)
@@ -164,12 +212,9 @@ def read_page(source: str | None) -> Page:
                     pop_to(depth)
             elif tag == "a":
                 link_depth = 0
-        elif tag in RAW:
-            end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(source, at)
-            at = len(source) if end is None else end.start()
         elif tag in SKIPPED:
             if not found["rest"].endswith("/"):
-                skipping, skip_depth = tag, 1
+                skipped.append(tag)
         elif tag in KIND_OF:
             if stack[-1][1] == "p":
                 pop_to(len(stack) - 1)
