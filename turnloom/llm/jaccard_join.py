@@ -1,6 +1,6 @@
 """N-gram Jaccard join: grouped prefix join over the sets of word shingles of documents.
 
-Two documents link if the Jaccard similarity of their sets is at least ``THRESHOLD`` percent.
+Two documents link if the Jaccard similarity of their sets is at least ``threshold`` percent.
 Shingles are ordered from rare to frequent; documents that link share a shingle among the
 first ``n - ceil(t n) + 1`` of each (the prefix).
 
@@ -242,28 +242,28 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return built.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
-def least_overlap(x: Column, y: Column) -> Column:
-    return F.ceil((x + y) * THRESHOLD / (100 + THRESHOLD))
+def least_overlap(x: Column, y: Column, threshold: int) -> Column:
+    return F.ceil((x + y) * threshold / (100 + threshold))
 
 
-def _close(a: str, b: str) -> Column:
+def _close(a: str, b: str, threshold: int) -> Column:
     """Sizes fit, and the signatures differ in no more bits than the sets may in shingles."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
     differ = sum(
         (F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SIGNATURE)),
         F.lit(0),
     )
-    sizes = F.least(x, y) * 100 >= F.greatest(x, y) * THRESHOLD
-    return sizes & (differ <= x + y - 2 * least_overlap(x, y))
+    sizes = F.least(x, y) * 100 >= F.greatest(x, y) * threshold
+    return sizes & (differ <= x + y - 2 * least_overlap(x, y, threshold))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets; signatures are compared first."""
     signs = sets.drop("shingles")
     near = (
         pairs.join(signs.alias("x"), F.col("a") == F.col("x.doc_id"))
         .join(signs.alias("y"), F.col("b") == F.col("y.doc_id"))
-        .filter(_close("x", "y"))
+        .filter(_close("x", "y", threshold))
         .select("a", "b")
     )
     whole = sets.select("doc_id", "shingles")
@@ -279,13 +279,13 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 x, y = (batch.column(c)[k].values.to_numpy() for c in ("x", "y"))
                 same = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * same >= THRESHOLD * (len(x) + len(y) - same))
+                good.append(100 * same >= threshold * (len(x) + len(y) - same))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(check, "a long, b long")
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
+def prefixes(sets: DataFrame, threshold: int) -> DataFrame:
     """(doc_id, n, own, prefix, group): shared prefix shingles, rare ones first.
 
     ``own`` shingles occur nowhere else and come before them. Documents without shared
@@ -298,7 +298,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
         .groupBy("doc_id", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
     )
-    length = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
+    length = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
     cut = (length - F.col("own")).cast("int")
     return (
         shared.withColumn("own", F.col("n") - F.size("shared"))
@@ -309,9 +309,9 @@ def prefixes(sets: DataFrame) -> DataFrame:
     )
 
 
-def link(sets: DataFrame) -> DataFrame:
+def link(sets: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) that connect all components of the documents in ``sets``."""
-    members = stored(prefixes(sets), "prefixes")
+    members = stored(prefixes(sets, threshold), "prefixes")
     groups = members.groupBy("group").agg(
         F.min("doc_id").alias("head"),
         F.first("n").alias("n"),
@@ -326,7 +326,7 @@ def link(sets: DataFrame) -> DataFrame:
     stars = members.join(groups.select("group", "head"), "group").select(
         F.col("head").alias("a"), F.col("doc_id").alias("b")
     ).unionByName(index.join(center, "shingle").select(F.col("center").alias("a"), F.col("head").alias("b")))
-    first = stored(verified(stars.filter("a != b").distinct(), sets), "links")
+    first = stored(verified(stars.filter("a != b").distinct(), sets, threshold), "links")
     # Second round: between components.
     labels = components(first)
     labelled = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -358,8 +358,8 @@ def link(sets: DataFrame) -> DataFrame:
     apart = (
         (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.component") < F.col("y.component")))
-        & (1 + left >= least_overlap(F.col("x.n"), F.col("y.n")))
-        & ((F.col("x.size") > 1) | (F.col("y.size") > 1) | _close("x", "y"))
+        & (1 + left >= least_overlap(F.col("x.n"), F.col("y.n"), threshold))
+        & ((F.col("x.size") > 1) | (F.col("y.size") > 1) | _close("x", "y", threshold))
     )
     names = [F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("group", "component")]
     near = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & apart).select(*names).distinct()
@@ -370,17 +370,17 @@ def link(sets: DataFrame) -> DataFrame:
         .select("a", "b")
         .distinct()
     )
-    return first.unionByName(verified(pairs, sets))
+    return first.unionByName(verified(pairs, sets, threshold))
 
 
-def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def link_documents(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
     seen = stored(survey(docs, size), "survey")
     key = ["n", "k1", "k2"]
     same = seen.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("first"), F.max("m").alias("m"))
-    left = stored(same.filter(F.col("m") * 100 >= F.col("n") * THRESHOLD).select(F.col("first").alias("doc_id")), "left")
+    left = stored(same.filter(F.col("m") * 100 >= F.col("n") * threshold).select(F.col("first").alias("doc_id")), "left")
     sets = stored(full_sets(docs, left, size), "sets")
-    found = components(link(sets)).withColumnRenamed("node", "first")
+    found = components(link(sets, threshold)).withColumnRenamed("node", "first")
     first = same.select(*key, "first").join(found, "first", "left").select(
         *key, F.coalesce("component", "first").alias("component")
     )
@@ -407,12 +407,12 @@ def _sizes(size: int):
     return count
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each component: the one with the least doc_id.
 
     Rows with a null doc_id stay. Of repeated rows of a document one stays.
     """
-    linked = link_documents(docs.select("doc_id", "text"), size)
+    linked = link_documents(docs.select("doc_id", "text"), size, threshold)
     gone = linked.filter("component_id != doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
     named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
