@@ -335,3 +335,21 @@ def test_quotes_of_any_length_and_wrapping(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
     got = {(r["conv_id"], r["turn"]): r["parent_turn"] for r in Q.link_quotes(df).collect()}
     assert [got[k] for k in ((1, 2), (2, 2), (2, 3), (3, 2))] == [0, 0, 0, 0]
+
+
+def test_common_words_of_any_length(spark):
+    rng = random.Random(13)
+    pool = {"a": ["nicht", "mente", "because", "of", "it"], "": ["vielleicht", "to"]}
+    docs = []
+    for k in range(40):
+        lang = None if k % 2 else "a"
+        often = rng.choices(pool[lang or ""], k=30)
+        docs.append((k, " ".join([*often, words(rng, 40)]), lang))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r["_js_lang"]: r for r in V.language_references(V.measured(df, ["doc_id"])).collect()}
+    for lang in ("a", ""):
+        counts = Counter("".join(c if c.isalpha() else " " for d in docs if (d[2] or "") == lang for c in d[1].lower() + " ").split())
+        top = sorted(counts, key=lambda w: (-counts[w], w))[: V.COMMON]
+        assert got[lang]["_js_common"] == top and any(len(w) > 4 for w in top)
+        shares = [counts[w] / counts.total() for w in top]
+        assert got[lang]["_js_share"] == pytest.approx([*shares, 1 - sum(shares)])

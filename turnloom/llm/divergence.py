@@ -3,14 +3,14 @@
 Two histograms are compared with the reference of the document's language by the
 Jensen-Shannon distance (base 2, 0 to 1): characters by class (white space, upper-case
 letters, digits, punctuation, symbols, other), and words by the language's ``COMMON`` most
-frequent short words (all others are one bin). References are sums over all documents of a
+frequent words (all others are one bin). References are sums over all documents of a
 language; a null language is a language of its own. A distance counts only for documents
 long enough to have a histogram (``MIN_CHARS``, ``MIN_WORDS``), and as far as it exceeds what
 a sample of that length differs by chance, sqrt(bins / (8 n ln 2)).
 
 DataFrame operations only. The references come from one aggregation that is combined on the
-map side (words of at most ``SHORT`` letters, a bounded vocabulary), so the language with
-most of the rows sends no more than others. They are one row per language; they are
+map side (each task sends a word of a language once), and each task keeps the first ``COMMON``
+words of a language. They are one row per language; they are
 broadcast if counting shows at most ``BROADCAST_LANGUAGES``, joined otherwise. Texts are read
 once and never shuffled; all measures of a row come from the row alone.
 
@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from turnloom.llm.common import WORD, stored, table
 
 COMMON = 32
-SHORT = 4
 MIN_CHARS = 200
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.155
@@ -47,7 +46,6 @@ DIGIT = r"\p{Nd}"
 PUNCTUATION = r"[.,;:!?'\"()-]"
 OTHER_SYMBOL = r"[^\p{L}\p{Nd}\x20\x09-\x0D.,;:!?'\"()-]"
 LETTERS = r"\p{L}+"
-SHORT_WORD = r"(?:^|[^\p{L}])(\p{L}{1,%d})(?=[^\p{L}]|$)" % SHORT
 # Bin k of the word histogram is written as the k-th of these characters.
 BINS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -153,9 +151,8 @@ def measured(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
         "_js_classes",
         F.coalesce("lang", F.lit("")).alias("_js_lang"),
         F.length(text).alias("_js_chars"),
-        _n(text, LETTERS).alias("_js_total"),
-        F.regexp_extract_all(F.lower(text), F.lit(SHORT_WORD), F.lit(1)).alias("_js_short"),
-    )
+        F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0)).alias("_js_letters"),
+    ).withColumn("_js_total", F.size("_js_letters").cast("long"))
     return stored(rows, "measures")
 
 
@@ -169,7 +166,7 @@ def language_references(rows: DataFrame) -> DataFrame:
     chars = sum((F.col(f"c{k}") for k in range(CLASSES)), F.lit(0))
     share = F.array(*[F.coalesce(F.col(f"c{k}") / chars, F.lit(0.0)) for k in range(CLASSES)])
     words = (
-        rows.select("_js_lang", F.explode("_js_short").alias("w"))
+        rows.select("_js_lang", F.explode("_js_letters").alias("w"))
         .groupBy("_js_lang", "w")
         .agg(F.count("*").alias("n"))
     )
@@ -211,7 +208,7 @@ def js_distance(counts: Column, total: Column, reference: Column) -> Column:
 def with_word_bins(docs: DataFrame) -> DataFrame:
     """Add _js_bins: counts of the language's common words, in their order, and of others.
 
-    Each short word becomes one character, BINS[k] for the k-th common word, so that the
+    Each word becomes one character, BINS[k] for the k-th common word, so that the
     counts are lengths of strings.
     """
     common, signs, known = F.col("_js_common"), F.col("_js_signs"), F.col("_js_known")
@@ -222,7 +219,7 @@ def with_word_bins(docs: DataFrame) -> DataFrame:
             "_js_signs",
             F.array_join(
                 F.transform(
-                    "_js_short",
+                    "_js_letters",
                     lambda w: F.substring(sign, F.array_position(common, w).cast("int") + 1, F.lit(1)),
                 ),
                 "",
