@@ -206,3 +206,15 @@ SKIPPED_CASES = [
 @pytest.mark.parametrize("source", SKIPPED_CASES)
 def test_skipped_elements_end(source):
     assert [t for t in H.read_page(source).text if t is not None] == ["It's here"]
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_all_good_rows_are_counted(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(R, "TARGET_ROWS", 3, raising=False)
+    monkeypatch.setattr(R, "BROADCAST_IDS", broadcast, raising=False)
+    rng = random.Random(14)
+    rows = [(i, words(rng, 30)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60) for _ in range(2)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["log_weight"] for r in R.resample(docs, labels).collect()}
+    assert got == pytest.approx(brute_weights(rows, set(range(1, 60, 2))))

@@ -2,7 +2,7 @@
 
 Features are hashed n-grams of one and two words, and of runs of punctuation, in ``BUCKETS``
 buckets. The raw model counts the features of all documents, the target model those of
-documents labelled good (at most ``TARGET_ROWS`` of them, chosen by hash). The importance
+all documents labelled good. The importance
 weight of a document is the ratio of its probabilities under the two models; it is taken for
 a text of ``STANDARD`` features, so that length alone does not decide. Documents are drawn
 without replacement by the Gumbel top-k method: seeded Gumbel noise is added to the log
@@ -31,7 +31,7 @@ from turnloom.llm.toxicity import SEPARATOR
 from turnloom.llm.words import SPACE, hash_words, slices
 
 BUCKETS = 10_000
-TARGET_ROWS = 20_000
+BROADCAST_IDS = 100_000
 STANDARD = 200
 FRACTION = 0.5
 SUM_GROUPS = 32
@@ -75,10 +75,10 @@ def count_features(docs: DataFrame) -> np.ndarray:
 
 def log_ratios(docs: DataFrame, labels: DataFrame, label: str) -> np.ndarray:
     """Log of target over raw probability of each bucket, with one added to every count."""
-    order = [F.md5(F.col("doc_id").cast("string")), "doc_id"]
-    good = labels.filter(F.col(label) == 1).select("doc_id").orderBy(*order).limit(TARGET_ROWS)
-    # At most TARGET_ROWS ids.
-    target = count_features(docs.join(F.broadcast(good.distinct()), "doc_id", "left_semi"))
+    good = labels.filter(F.col(label) == 1).select("doc_id").distinct()
+    # Broadcast only after counting; beyond that the texts are joined by doc_id.
+    few = good.count() <= BROADCAST_IDS
+    target = count_features(docs.join(F.broadcast(good) if few else good, "doc_id", "left_semi"))
     if not target.sum():
         return np.zeros(BUCKETS)
     raw = count_features(docs)
