@@ -11,8 +11,8 @@
 5. sharding: the mix is dealt to 40 shards in uniformly random order.
 
 Null texts score 0, link with nothing, have no hits and size 0, so the mix leaves them out.
-SQL cannot express the stages, so there is no ``ORACLE_SQL``; the tests compare each stage with
-a brute-force version.
+SQL cannot express the stages, so there is no ``ORACLE_SQL``. The tests compare the operators, and
+of the stages here the second, with brute force; the chain of stages is not tested.
 """
 
 from __future__ import annotations
