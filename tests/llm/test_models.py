@@ -42,7 +42,7 @@ def test_gradients(net):
     texts, labels = small_net(4)
     tokens = X.tokens_of(pa.array(texts[:6]))
     starts, rows = X.windows_of(tokens.at)
-    net = X.Network(3)
+    net = X.Network(X._started(tokens, labels[:6], 0)[0].known, 3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
 
     def loss():
@@ -51,7 +51,7 @@ def test_gradients(net):
         return np.mean(np.logaddexp(0, z) - y * z)
 
     g = net.gradients(tokens, starts, rows, labels[rows])
-    for name in ("fore_state", "back_in", "attend", "out", "char"):
+    for name in ("fore_state", "back_in", "attend", "out", "word", "char3", "char6"):
         at = np.unravel_index(np.abs(g[name]).argmax(), g[name].shape)
         before, value = net.p[name][at], []
         for step in (1e-2, -1e-2):
@@ -61,6 +61,70 @@ def test_gradients(net):
         assert (value[0] - value[1]) / 2e-2 == pytest.approx(float(g[name][at]), rel=0.05, abs=1e-5)
 
 
+def plain_score(net, text):
+    """The score of a text, one window, word and step at a time."""
+    words = [w for w in "".join(chr(c) if not X.SEPARATOR[c] else " " for c in text.lower().encode()).split(" ") if w]
+    inputs = []
+    for w in words:
+        own = X.tokens_of(pa.array([w.encode("latin-1").decode()]))
+        parts = [net.p["word"][net.known["word"].find(own.hashes)[0]]]
+        for k, run in enumerate(X.RUNS):
+            padded = " " + w + " "
+            assert len(own.grams[k]) == max(1, len(padded) + 1 - run)
+            at = net.known[f"char{run}"].find(own.grams[k])
+            parts.append(sum(net.p[f"char{run}"][a] for a in at) / len(at))
+        inputs.append(np.concatenate(parts).astype(np.float64))
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    h, best = X.HIDDEN, -math.inf
+    last = max(len(words) - X.LENGTH, 0)
+    for start in sorted({min(s, last) for s in range(0, last + X.STRIDE, X.STRIDE)}):
+        window = inputs[start : start + X.LENGTH]
+        both = []
+        for way in ("fore", "back"):
+            state, states = np.zeros(h), []
+            for x in window if way == "fore" else window[::-1]:
+                a = x @ net.p[f"{way}_in"] + net.p[f"{way}_bias"]
+                u = state @ net.p[f"{way}_state"]
+                z, r = logistic(a[:h] + u[:h]), logistic(a[h : 2 * h] + u[h : 2 * h])
+                new = np.tanh(a[2 * h :] + r * u[2 * h :])
+                state = z * state + (1 - z) * new
+                states.append(state)
+            both.append(states if way == "fore" else states[::-1])
+        states = np.array([np.concatenate(x) for x in zip(*both)])
+        weight = np.exp(np.tanh(states @ net.p["attend"]) @ net.p["attend_out"])
+        pooled = (weight / weight.sum()) @ states
+        best = max(best, float(pooled @ net.p["out"] + net.p["bias"][0]))
+    return logistic(best) if words else 0.0
+
+
+def test_scores_equal_a_plain_forward_pass(net):
+    texts = [*small_net(5)[0][:8], "vile", words(random.Random(7), 100).encode("ascii", "ignore").decode()]
+    texts = [t.encode("ascii", "ignore").decode() for t in texts]
+    assert net.score(pa.array(texts)) == pytest.approx([plain_score(net, t) for t in texts], abs=1e-4)
+
+
+def test_slices_of_a_sample_merge_to_the_same_tokens():
+    texts, _ = small_net(6)
+    whole = X.tokens_of(pa.array(texts))
+    joined = X.merged([X.tokens_of(pa.array(texts[k : k + 50])) for k in range(0, len(texts), 50)])
+    for a, b in zip([whole.hashes, whole.ids, whole.at, *whole.grams, *whole.first],
+                    [joined.hashes, joined.ids, joined.at, *joined.grams, *joined.first]):
+        assert np.array_equal(a, b)
+
+
+def test_contradicting_labels_and_repeated_rows_do_not_change_the_network(spark):
+    texts, y = small_net(8)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, toxic int")
+    more = spark.createDataFrame([(300, 0), (300, 1)], labels.schema)
+    one = X.fit(docs, labels)
+    two = X.fit(
+        docs.unionByName(docs.limit(40)).unionByName(spark.createDataFrame([(300, "x y z")], docs.schema)).repartition(5),
+        labels.unionByName(more).unionByName(labels),
+    )
+    assert all(np.array_equal(one.p[k], two.p[k]) for k in one.p)
+
+
 def test_windows_overlap_and_cover():
     sizes = np.array([0, 1, 31, 32, 33, 56, 57, 500])
     at = np.append(0, np.cumsum(sizes))
@@ -69,6 +133,8 @@ def test_windows_overlap_and_cover():
         mine = starts[rows == row] - at[row]
         seen = {w for s in mine for w in range(s, min(s + X.LENGTH, size))}
         assert seen == set(range(size))
+        twice = [w for w in range(X.LENGTH, size - X.LENGTH) if sum(s <= w < s + X.LENGTH for s in mine) < 2]
+        assert not twice
 
 
 def test_scores_of_edge_rows(spark, net):
@@ -91,7 +157,11 @@ def test_held_out_accuracy(spark):
     )
     rows = got.select("toxic", "predicted").collect()
     right = sum(r["toxic"] == r["predicted"] for r in rows) / len(rows)
-    assert len(rows) > 500 and right > 0.93
+    toxic = [r["predicted"] for r in rows if r["toxic"] == 1]
+    clean = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert len(rows) > 500 and right > 0.95
+    # 53 of 97 hold marker words; the rest differ from clean texts by rare beginnings of words.
+    assert len(toxic) > 80 and sum(toxic) / len(toxic) > 0.8 and sum(clean) / len(clean) < 0.02
 
 
 PAGE = """<html><head><title>t</title><script>if (a < b) x("</p>")</script></head><body>
