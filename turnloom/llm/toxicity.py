@@ -41,7 +41,7 @@ LENGTH = 32
 STRIDE = 12
 KNOWN = 1 << 15  # words, and character runs of a length, that have an embedding, at most
 SLOTS = 18  # bits of a hash that find them
-MIN_TEXTS = 3
+MIN_TEXTS = 6
 COUNT_SLOTS = 21  # bits of a hash under which texts are counted
 RUNS = (3, 6)  # bytes of a character run
 DIM = 12  # of each embedding
@@ -98,9 +98,10 @@ def tokens_of(texts: pa.Array) -> Tokens:
     words = hash_words(texts, lower=True, space=SEPARATOR)
     hashes, one, ids = np.unique(words.hashes, return_index=True, return_inverse=True)
     starts, sizes = words.starts[one], (words.ends - words.starts)[one]
-    # The bytes of each distinct word between two spaces.
-    first = np.cumsum(sizes + 2) - (sizes + 2)
-    padded = np.full(int((sizes + 2).sum()) + max(RUNS), 32, dtype=np.int64)
+    # The bytes of each distinct word between spaces, at least as many as a run needs.
+    width = np.maximum(sizes + 2, max(RUNS))
+    first = np.cumsum(width) - width
+    padded = np.full(int(width.sum()), 32, dtype=np.int64)
     of = np.repeat(np.arange(len(sizes)), sizes)
     inner = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     padded[first[of] + 1 + inner] = words.data[starts[of] + inner]
