@@ -26,6 +26,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written once to the shared folder in buckets of ``key``: later joins on it move
+    only the other side."""
+    path = fresh_path(df.sparkSession, "bucketed")
+    name = "turnloom_" + path.rsplit("-", 1)[1]
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a whole text; 0 for a null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -12,6 +12,7 @@ from turnloom.llm import (
     resampling,
     sharding,
     substring_dedup,
+    suffix_tree,
     toxicity,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_tree_model": html_extract.op8_tree_model,
     "op9_grouped_prefix": jaccard_join.op9_grouped_prefix,
     "op10_importance": resampling.op10_importance,
+    "op12_suffix_tree": suffix_tree.op12_suffix_tree,
 }
 
 ORACLES = {
