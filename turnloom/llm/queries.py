@@ -7,6 +7,7 @@ from turnloom.llm import (
     divergence,
     html_extract,
     jaccard_join,
+    lexical_search,
     mixing,
     quotation,
     resampling,
@@ -28,8 +29,10 @@ QUERIES = {
     "op9_grouped_prefix": jaccard_join.op9_grouped_prefix,
     "op10_importance": resampling.op10_importance,
     "op12_suffix_tree": suffix_tree.op12_suffix_tree,
+    "op13_stratified_search": lexical_search.op13_stratified_search,
 }
 
 ORACLES = {
     "op5_fair_queueing": mixing.OP5_SQL,
+    "op13_stratified_search": lexical_search.OP13_SQL,
 }
