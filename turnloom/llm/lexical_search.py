@@ -36,17 +36,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from turnloom.llm.common import ship, stored, table
-from turnloom.llm.words import hash_words
+from turnloom.llm.words import hash_words, slices
 
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = np.array([not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128) for c in range(256)])
 BLOCK_BYTES = 1_000_000
 BLOCK_DOCS = 60_000
-PARTITION_BYTES = 48_000_000
+PARTITION_BYTES = 32_000_000
+GROUP_BYTES = 8_000_000
 ITEMS = 512
 FIRST = 8
 SALTS = 64
@@ -105,6 +106,26 @@ def _cut(block_bytes: int):
     return cut
 
 
+def _counts(texts: pa.Array) -> np.ndarray:
+    """Number of terms of each text."""
+    return np.diff(hash_words(texts, lower=True, space=GAP).at)
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch):
+            text = part.column("text")
+            size = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(_counts(text).astype(np.int64)), size], ["n", "size"])
+
+
+def _with_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch):
+            n = pa.array(_counts(part.column("text")).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns, n], ["doc_id", "text", "n"])
+
+
 @dataclass
 class Index:
     blocks: DataFrame
@@ -115,23 +136,23 @@ class Index:
 def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Index:
     """The stored index of all rows of ``docs`` (doc_id, text) that have a term."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
-        "n", F.coalesce(F.regexp_count("text", F.lit(TERM)), F.lit(0)).cast("long")
-    )
-    known = rows.filter("n > 0").agg(
-        F.count("*").alias("docs"), F.sum("n").alias("terms"), F.sum(F.octet_length("text")).alias("size")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sizes = rows.select("text").mapInArrow(_sizes, "n long, size long").filter("n > 0")
+    known = sizes.agg(
+        F.count("*").alias("docs"), F.sum("n").alias("terms"), F.sum("size").alias("size")
     ).first()
     n_docs, n_terms = known["docs"], known["terms"] or 0
     m = F.expr(f"50 + (50 * n * {n_docs}L) div {max(n_terms, 1)}L")
     parts = max(12, (known["size"] or 0) // PARTITION_BYTES)
     placed = (
-        rows.filter("n > 0")
+        rows.mapInArrow(_with_sizes, "doc_id long, text string, n long")
+        .filter("n > 0")
         .select(m.alias("m"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("spread"))
         .repartitionByRange(parts, "m", "spread")
         .sortWithinPartitions("m", "doc_id")
         .drop("spread")
     )
-    return Index(stored(placed.mapInArrow(_cut(block_bytes), INDEX), "index"), n_docs, n_terms)
+    return Index(stored(placed.mapInArrow(_cut(block_bytes), INDEX), "index", GROUP_BYTES), n_docs, n_terms)
 
 
 class Block:
