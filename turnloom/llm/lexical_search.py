@@ -5,9 +5,9 @@ terms has the normaliser m = 50 + (50 n N) div L, where N counts the documents w
 all their terms. A term of an item weighs w = floor(1000 ln((2N + 2) / (2 df + 1))) and adds
 w ((10^9 tf) div (1000 tf + 20 m)) to a document's score; the rest is 64-bit integer arithmetic.
 
-Index: documents are range-partitioned by m, so those of equal m (a stratum) lie together, and
-cut into blocks of one stratum of at most ``BLOCK_BYTES``; a stratum of any size is spread
-over blocks and tasks. A block holds its distinct terms (64-bit hashes), and each term's
+Index: documents are laid out by m in parts of equal bytes (a histogram of bytes over m says where
+each begins), so those of equal m (a stratum) lie together, and cut into blocks of one stratum of
+at most ``BLOCK_BYTES``; a stratum of any size is spread over blocks and parts. A block holds its distinct terms (64-bit hashes), and each term's
 postings by falling tf. Every document with a term is in one block.
 
 Search, for a group of about ``ITEMS`` items at a time, against all blocks:
@@ -143,14 +143,26 @@ def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Index:
     ).first()
     n_docs, n_terms = known["docs"], known["terms"] or 0
     m = F.expr(f"50 + (50 * n * {n_docs}L) div {max(n_terms, 1)}L")
-    parts = max(12, (known["size"] or 0) // PARTITION_BYTES)
+    far = 4096 + F.floor(64 * F.log2(F.col("m") / 4096))
+    kind = F.when(F.col("m") < 4096, F.col("m")).otherwise(far)
+    # At most some 8,000 kinds of m, with their bytes: where each begins in order of m.
+    bytes_of = (
+        sizes.withColumn("m", m).groupBy(kind.alias("kind")).agg(F.sum("size").cast("double").alias("bytes"))
+    )
+    upto = F.sum("bytes").over(W.orderBy("kind"))
+    spans = F.broadcast(bytes_of.select("kind", "bytes", (upto - F.col("bytes")).alias("before")))
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
+    part = F.floor((F.col("before") + share * F.col("bytes")) / PARTITION_BYTES)
     placed = (
         rows.mapInArrow(_with_sizes, "doc_id long, text string, n long")
         .filter("n > 0")
-        .select(m.alias("m"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("spread"))
-        .repartitionByRange(parts, "m", "spread")
-        .sortWithinPartitions("m", "doc_id")
-        .drop("spread")
+        .select(m.alias("m"), "doc_id", "text")
+        .withColumn("kind", kind)
+        .join(spans, "kind")
+        .select("m", "doc_id", "text", part.alias("part"))
+        .repartition(max(12, (known["size"] or 0) // PARTITION_BYTES), "part")
+        .sortWithinPartitions("part", "m", "doc_id")
+        .select("m", "doc_id", "text")
     )
     return Index(stored(placed.mapInArrow(_cut(block_bytes), INDEX), "index", GROUP_BYTES), n_docs, n_terms)
 
