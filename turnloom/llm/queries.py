@@ -15,6 +15,7 @@ from turnloom.llm import (
     substring_dedup,
     suffix_tree,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_tree_model": html_extract.op8_tree_model,
     "op9_grouped_prefix": jaccard_join.op9_grouped_prefix,
     "op10_importance": resampling.op10_importance,
+    "op11_refined_whitening": whitening.op11_refined_whitening,
     "op12_suffix_tree": suffix_tree.op12_suffix_tree,
     "op13_stratified_search": lexical_search.op13_stratified_search,
 }
