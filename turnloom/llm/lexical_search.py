@@ -85,23 +85,39 @@ def _block(number: int, m: int, docs: list, texts: pa.Array) -> pa.RecordBatch:
     )
 
 
+def _runs(values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value of a sorted array and where it stands, at most 10,000 places at a time."""
+    cuts = np.flatnonzero(np.diff(values)) + 1
+    cuts = np.union1d(np.concatenate([[0], cuts, [len(values)]]), np.arange(0, len(values), 10_000))
+    for a, b in zip(cuts[:-1].astype(int).tolist(), cuts[1:].astype(int).tolist()):
+        yield int(values[a]), slice(a, b)
+
+
 def _cut(block_bytes: int):
     """Blocks of consecutive documents of equal m."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId() << 32, 0
-        m, docs, texts, size = None, [], [], 0
+        m, parts, size, count = None, [], 0, 0
+
+        def joined() -> pa.RecordBatch:
+            docs = [d for p in parts for d in p.column("doc_id").to_pylist()]
+            texts = pa.concat_arrays([p.column("text").cast(pa.large_string()) for p in parts])
+            return _block(task + made, m, docs, texts)
+
         for batch in batches:
-            for own, doc, text in zip(*(batch.column(c).to_pylist() for c in ("m", "doc_id", "text"))):
-                if docs and (own != m or size >= block_bytes or len(docs) >= BLOCK_DOCS):
-                    yield _block(task + made, m, docs, pa.array(texts, pa.large_string()))
-                    made, docs, texts, size = made + 1, [], [], 0
-                m = own
-                docs.append(doc)
-                texts.append(text)
-                size += len(text)
-        if docs:
-            yield _block(task + made, m, docs, pa.array(texts, pa.large_string()))
+            for piece in slices(batch):
+                for own, at in _runs(piece.column("m").to_numpy()):
+                    if parts and (own != m or size >= block_bytes or count >= BLOCK_DOCS - 10_000):
+                        yield joined()
+                        made, parts, size, count = made + 1, [], 0, 0
+                    m = own
+                    part = piece.slice(at.start, at.stop - at.start)
+                    parts.append(part)
+                    size += pc.sum(pc.binary_length(part.column("text"))).as_py()
+                    count += part.num_rows
+        if parts:
+            yield joined()
 
     return cut
 
@@ -160,7 +176,7 @@ def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Index:
         .withColumn("kind", kind)
         .join(spans, "kind")
         .select("m", "doc_id", "text", part.alias("part"))
-        .repartition(max(12, (known["size"] or 0) // PARTITION_BYTES), "part")
+        .repartitionById(max(12, (known["size"] or 0) // PARTITION_BYTES + 1), F.col("part").cast("int"))
         .sortWithinPartitions("part", "m", "doc_id")
         .select("m", "doc_id", "text")
     )
