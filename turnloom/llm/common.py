@@ -19,14 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
+def stored(
+    df: DataFrame, label: str, group_bytes: int | None = None, compression: str | None = None
+) -> DataFrame:
     """``df`` written once to the shared folder and read from there by every later pass.
 
     ``group_bytes`` bounds the row groups, and so what a reader holds of rows that are large.
     """
     path = fresh_path(df.sparkSession, label)
     write = df.write if group_bytes is None else df.write.option("parquet.block.size", group_bytes)
-    write.parquet(path)
+    write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -35,7 +35,8 @@ MAX_CLASS_DISTANCE = 0.155
 MAX_WORD_DISTANCE = 0.12
 CLASSES = 6
 BROADCAST_LANGUAGES = 10_000
-REPEAT_WINDOW = 8
+REPEAT_WINDOW = 8  # a power of two
+SLOTS = 64
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -58,13 +59,20 @@ def with_repeated_words(docs: DataFrame) -> DataFrame:
     """Add n_repeat_words: words covered by a window of eight words that occurs at least
     twice in the text.
 
-    Window hashes are sorted with their positions, so equal ones are neighbours; this is
-    only done for texts in which some hash occurs twice. Each step is a column of its own,
+    Each word is hashed once; hashes of two, four and eight words follow from pairs of
+    shorter ones. Window hashes are sorted with their positions, so equal ones are neighbours;
+    this is only done for texts in which some hash occurs twice. Each step is a column of its own,
     since an expression used inside a lambda is evaluated anew for every element.
     """
     n = REPEAT_WINDOW
     words, hashes, pairs = F.col("_js_words"), F.col("_js_hashes"), F.col("_js_pairs")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
+    steps = [1 << k for k in range(n.bit_length() - 1)]  # 1, 2, 4
+    docs = docs.withColumn("_js_run1", F.transform(words, lambda w: F.xxhash64(w)))
+    for step in steps:
+        run = F.col(f"_js_run{step}")
+        doubled = F.transform(run, lambda h, i: F.xxhash64(h, F.get(run, i + step)))
+        docs = docs.withColumn(f"_js_run{2 * step}", doubled).drop(f"_js_run{step}")
+    windows = F.slice(F.col(f"_js_run{n}"), F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
     sorted_pairs = F.array_sort(
         F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     )
@@ -83,9 +91,8 @@ def with_repeated_words(docs: DataFrame) -> DataFrame:
         lambda acc: acc["n"],
     )
     return (
-        docs.withColumn(
-            "_js_hashes", F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, n)))
-        )
+        docs.withColumn("_js_hashes", windows)
+        .drop(f"_js_run{n}")
         .withColumn(
             "_js_pairs",
             F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), sorted_pairs),
@@ -153,7 +160,7 @@ def measured(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.length(text).alias("_js_chars"),
         F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0)).alias("_js_letters"),
     ).withColumn("_js_total", F.size("_js_letters").cast("long"))
-    return stored(rows, "measures")
+    return stored(rows, "measures", compression="zstd")
 
 
 def language_references(rows: DataFrame) -> DataFrame:
@@ -185,13 +192,36 @@ def language_references(rows: DataFrame) -> DataFrame:
     return classes.join(common, "_js_lang", "left").select(
         "_js_lang",
         share.alias("_js_class"),
-        F.transform(top, lambda t: t["w"]).alias("_js_common"),
+        F.size(top).alias("_js_known"),
+        *_slots(top),
         F.when(F.col("_js_all") > 0, F.concat(known, F.array(other)))
         .otherwise(F.array(F.lit(0.0)))
         .alias("_js_share"),
     )
 
 
+def _slots(top: Column) -> tuple[Column, Column]:
+    """The common words by hash: for each of SLOTS slots its words, and "-" and their signs."""
+
+    def in_slot(slot: int) -> Column:
+        return F.filter(top, lambda t: _slot(t["w"]) == slot)
+
+    own = [in_slot(slot) for slot in range(SLOTS)]
+    sign = [
+        F.concat(
+            F.lit("-"),
+            F.array_join(F.transform(x, lambda t: F.substring(F.lit(BINS), t["nth"], F.lit(1))), ""),
+        )
+        for x in own
+    ]
+    words = F.array(*[F.transform(x, lambda t: t["w"]) for x in own])
+    return words.alias("_js_slots"), F.array(*sign).alias("_js_marks")
+
+
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
 def js_distance(counts: Column, total: Column, reference: Column) -> Column:
     """Jensen-Shannon distance (base 2) of a histogram of counts from shares."""
 
@@ -209,46 +239,29 @@ def with_word_bins(docs: DataFrame) -> DataFrame:
     """Add _js_bins: counts of the language's common words, in their order, and of others.
 
     Each word becomes one character, BINS[k] for the k-th common word, so that the
-    counts are lengths of strings.
+    counts are lengths of strings. It is compared with the common words of its slot only.
     """
-    common, signs, known = F.col("_js_common"), F.col("_js_signs"), F.col("_js_known")
-    sign = F.lit("-" + BINS)
-    places = F.sequence(F.lit(1), F.greatest(F.size(common), F.lit(1)))
+    signs, counts, known = F.col("_js_signs"), F.col("_js_counts"), F.col("_js_known")
+    slots, marks = F.col("_js_slots"), F.col("_js_marks")
+    none = F.array().cast("array<bigint>")
+
+    def sign(w: Column, slot: Column) -> Column:
+        place = F.array_position(F.get(slots, slot), w).cast("int")
+        return F.substring(F.get(marks, slot), place + 1, F.lit(1))
+
+    def count(k: Column) -> Column:
+        rest = F.replace(signs, F.substring(F.lit(BINS), k, F.lit(1)))
+        return (F.length(signs) - F.length(rest)).cast("long")
+
+    places = F.sequence(F.lit(1), F.greatest(known, F.lit(1)))
+    others = F.col("_js_total") - F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
     return (
         docs.withColumn(
-            "_js_signs",
-            F.array_join(
-                F.transform(
-                    "_js_letters",
-                    lambda w: F.substring(sign, F.array_position(common, w).cast("int") + 1, F.lit(1)),
-                ),
-                "",
-            ),
-        )
-        .withColumn(
-            "_js_known",
-            F.slice(
-                F.transform(
-                    places,
-                    lambda k: (
-                        F.length(signs)
-                        - F.length(F.replace(signs, F.substring(F.lit(BINS), k, F.lit(1))))
-                    ).cast("long"),
-                ),
-                F.lit(1),
-                F.size(common),
-            ),
-        )
-        .withColumn(
-            "_js_bins",
-            F.concat(
-                known,
-                F.array(
-                    F.col("_js_total") - F.aggregate(known, F.lit(0).cast("long"), lambda a, x: a + x)
-                ),
-            ),
+            "_js_signs", F.array_join(F.transform("_js_letters", lambda w: sign(w, _slot(w))), "")
         )
-        .drop("_js_signs", "_js_known")
+        .withColumn("_js_counts", F.when(known > 0, F.transform(places, count)).otherwise(none))
+        .withColumn("_js_bins", F.concat(counts, F.array(others)))
+        .drop("_js_signs", "_js_counts")
     )
 
 
