@@ -533,4 +533,10 @@ FROM scored GROUP BY split""",
     ),
 }
 
+ORACLES["streamed_nesting"] = ORACLES["sft_chatml_text"]
+ORACLES["pack_sequences"] = _with(
+    SPACED_TEXTS,
+    r"""SELECT conv_id, CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS n_tokens,
+       true AS follows, true AS fits, true AS few_bins FROM texts""",
+)
 ORACLES["nested_sharegpt_text"] = f"SELECT text FROM ({ORACLES['sft_sharegpt_text']})"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from turnloom.functions.templates import (
     Template,
@@ -13,9 +13,11 @@ from turnloom.functions.templates import (
     instruct_folded,
     instruct_tagged,
 )
+from turnloom.functions.text import count_tokens
 from turnloom.operators import pairs as P
 from turnloom.operators.metrics import preference_metrics as metrics
 from turnloom.operators.nest import Nested, from_rows, nest_preferences, nest_turns
+from turnloom.operators.packing import least_bins, pack_sequences as pack
 from turnloom.operators.prompts import clean_response, instruct_prompts, prompt_grid as grid
 from turnloom.operators.render import render
 from turnloom.operators.select import (
@@ -48,6 +50,7 @@ from turnloom.sources.readers import (
     with_stored_key,
 )
 from turnloom.sources.writers import write_jsonl, write_splits
+from turnloom.streaming.nesting import run_nesting
 from turnloom.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +63,7 @@ PER_LANG = 20
 MANY_PER_LANG = 1200
 DOCUMENT_PREFIX = 300
 TOKEN_BUDGET = 256
+PACK_BUDGET = 1024
 PAIR_BUDGET = 64
 
 
@@ -338,6 +342,35 @@ def response_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text in its bin, with what must hold of a packing: texts lie one after another,
+    within the budget, and the bins are few."""
+    texts = sft.texts(views.turns(spark, sf_dir), chatml_spaced())
+    sized = _stored(texts.select("conv_id", count_tokens(F.col("text")).alias("n_tokens")))
+    packed = _stored(pack(sized, ["conv_id"], "n_tokens", PACK_BUDGET))
+    used = F.least("n_tokens", F.lit(PACK_BUDGET))
+    before = F.sum(used).over(W.partitionBy("bin").orderBy("start_pos")) - used
+    histogram = sized.groupBy(used.alias("n")).agg(F.count("*").alias("rows")).collect()
+    bound = least_bins([(r["n"], r["rows"]) for r in histogram], PACK_BUDGET)
+    n_bins = packed.agg(F.countDistinct("bin")).scalar()
+    return packed.select(
+        "conv_id",
+        "n_tokens",
+        (F.col("start_pos") == before).alias("follows"),
+        (F.col("start_pos") + used <= PACK_BUDGET).alias("fits"),
+        (n_bins * 9 <= 11 * bound + 9).alias("few_bins"),
+    )
+
+
+def streamed_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of conversations that were nested from a stream of turns."""
+    source, out, checkpoint = (fresh_path(spark, f"stream-{k}") for k in ("turns", "out", "checkpoint"))
+    views.turns_in_time(spark, sf_dir).write.parquet(source)
+    run_nesting(spark, source, out, checkpoint, "10 minutes", "1 hour").awaitTermination()
+    nested = from_rows(spark.read.parquet(out).drop("first_pos"))
+    return drop_null(render(nested, chatml_spaced())).select("conv_id", "text")
+
+
 QUERIES: dict[str, Query] = {
     "role_normalize": role_normalize,
     "sft_chatml_text": _text(chatml_spaced),
@@ -382,4 +415,6 @@ QUERIES: dict[str, Query] = {
     "pairs_recovered": pairs_recovered,
     "balanced_sample_large": balanced_sample_large,
     "preference_metrics": preference_metrics,
+    "pack_sequences": pack_sequences,
+    "streamed_nesting": streamed_nesting,
 }

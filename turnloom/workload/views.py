@@ -25,6 +25,25 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_turns(spark, f"{sf_dir}/conversations.parquet")
 
 
+def turns_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns a minute apart, and one much later that moves the watermark past all of them."""
+    timed = turns(spark, sf_dir).filter("conv_id is not null").select(
+        F.col("conv_id").cast("bigint").alias("conv_id"),
+        F.col("turn").cast("bigint").alias("turn"),
+        "role",
+        "content",
+        F.timestamp_seconds(F.col("conv_id") * 100 + F.col("turn") * 60).alias("at"),
+    )
+    last = timed.agg(F.max("at").alias("at")).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.lit(0).cast("bigint").alias("turn"),
+        F.lit("system").alias("role"),
+        F.lit("end").alias("content"),
+        (F.col("at") + F.expr("INTERVAL 30 DAYS")).alias("at"),
+    )
+    return timed.unionByName(last.filter("at is not null"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
