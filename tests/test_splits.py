@@ -80,6 +80,8 @@ def test_balanced_sample(spark, keyed, k):
         key=repr,
     )
     assert rows_of(splits.balanced_sample(data, "g", ["k"], k, seed=9), "k", "g") == want
+    wide = splits.balanced_sample(data.withColumn("x", F.lit("text")), "g", ["k"], k, seed=9)
+    assert rows_of(wide, "k", "g") == want and wide.columns == [*data.columns, "x"]
 
 
 @pytest.mark.parametrize("k", [999, 1000, 1001, 1003])

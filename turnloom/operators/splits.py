@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from turnloom.operators.rank import hash_cutoff
+from turnloom.operators.rank import counted_broadcast, hash_cutoff, order_hash
 from turnloom.operators.select import in_prefix
 
+# Spark prunes ranks up to spark.sql.optimizer.windowGroupLimitThreshold (1,000) before a shuffle.
+PRUNED = 1000
+
 
 def exact_split(
     df: DataFrame,
@@ -87,14 +90,30 @@ def balanced_sample(
     """The rows of the ``per_stratum`` lowest keys of each stratum in seeded hash order.
 
     With unique keys that is at most ``per_stratum`` rows; rows that share a key are taken
-    together. The keys are cut off per stratum by a histogram (see ``hash_cutoff``), for any
-    size of the sample, so that a hot stratum is never sorted in one task and complete rows
-    are only compared with the cut.
+    together. Up to ``PRUNED`` keys, each task keeps the lowest keys of each stratum before
+    anything is shuffled; a table of keys alone is then done, rows with other columns are compared
+    with the last key of their stratum. For larger samples the last key is found by a histogram (see
+    ``hash_cutoff``). A hot stratum is never sorted whole in one task, and complete rows are not
+    sorted at all.
     """
     if per_stratum < 1:
         return df.limit(0)
     known = F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum")
     tagged = df.select("*", F.struct(F.col(stratum).isNull().alias("none"), known).alias("_group"))
+    if per_stratum <= PRUNED:
+        hashed = tagged.withColumn("_hash", order_hash(keys, seed))
+        lowest = F.dense_rank().over(W.partitionBy("_group").orderBy("_hash", *keys))
+        if set(df.columns) <= {stratum, *keys}:
+            found = hashed.withColumn("_nth", lowest).filter(F.col("_nth") <= per_stratum)
+            return found.select(*df.columns)
+        place = F.struct("_hash", *keys)
+        ranked = hashed.select("_group", *keys, "_hash").withColumn("_nth", lowest)
+        last = ranked.filter(F.col("_nth") <= per_stratum).groupBy("_group").agg(F.max(place).alias("_last"))
+        return (
+            hashed.join(counted_broadcast(last), "_group")
+            .filter(place <= F.col("_last"))
+            .select(*df.columns)
+        )
     picked = hash_cutoff(
         tagged, keys, seed, F.lit(per_stratum), "_picked", ["_group"], repeated="together"
     )
