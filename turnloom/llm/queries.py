@@ -9,6 +9,7 @@ from turnloom.llm import (
     jaccard_join,
     lexical_search,
     mixing,
+    oracles,
     quotation,
     resampling,
     sharding,
@@ -35,6 +36,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_lempel_ziv": oracles.OP1_SQL,
     "op5_fair_queueing": mixing.OP5_SQL,
+    "op7_suffix_automaton": oracles.OP7_SQL,
+    "op9_grouped_prefix": oracles.OP9_SQL,
     "op13_stratified_search": lexical_search.OP13_SQL,
 }

@@ -298,5 +298,4 @@ def op1_lempel_ziv(spark, sf_dir):
         "n_words",
         "n_removed",
         F.sha2("kept_text", 256).alias("kept_sha256"),
-        F.size("factors").cast("long").alias("n_factors"),
     )
