@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from edges import SCHEMA, edge_docs, texts_of, words
@@ -209,3 +211,35 @@ def test_op9_on_documents(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.link_documents(docs).collect()}
     assert got == linked(rows)
+
+
+@pytest.mark.parametrize("groups", [1, 7, 5000])
+def test_one_bucket_counts_alike_for_any_number_of_groups(groups):
+    """Each document comes out once, in one group, whatever the number of groups."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for _ in range(6):
+        docs = rng.choice(900, 40, replace=False).astype(np.int64)
+        counts = rng.integers(1, 6, 40).astype(np.uint32)
+        shingles = rng.integers(0, 300, int(counts.sum())).astype(np.uint32)
+        info = np.stack([docs, *(docs + k for k in range(4))])
+        rows.append((docs.tobytes(), counts.tobytes(), shingles.tobytes(), b"", info.tobytes()))
+    names = ["docs", "counts", "shingles", "marks", "info"]
+    table = pa.table({c: pa.array([r[k] for r in rows], pa.binary()) for k, c in enumerate(names)})
+    got = J.count_shared(groups)(table)
+    assert got.num_rows <= min(groups, 480)
+    found = {}
+    for part, docs, m in zip(*(got.column(c).to_pylist() for c in ("part", "docs", "m"))):
+        for d, n in zip(np.frombuffer(docs, np.int64).tolist(), np.frombuffer(m, np.int64).tolist()):
+            assert d not in found
+            found[d] = n
+    of = [d for r in rows for d, n in zip(np.frombuffer(r[0], np.int64), np.frombuffer(r[1], np.uint32)) for _ in range(n)]
+    every = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]).tolist()
+    often = {s for s in every if every.count(s) > 1}
+    want = {}
+    for d, s in zip(of, every):
+        if s in often:
+            want[int(d)] = want.get(int(d), 0) + 1
+    assert found == want
+    told = np.concatenate([np.frombuffer(x, np.int64).reshape(5, -1)[0] for x in got.column("info").to_pylist()])
+    assert sorted(told.tolist()) == sorted(x for r in rows for x in np.frombuffer(r[0], np.int64).tolist())

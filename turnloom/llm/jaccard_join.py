@@ -109,14 +109,15 @@ def _blobs(ids, rows, hashes, own, marks, info, buckets) -> Iterator[pa.RecordBa
     order = np.argsort(to_mark, kind="stable")
     to_mark, marks = to_mark[order], marks[order].astype(np.uint32)
     out = []
-    every = np.arange(buckets + 1)
-    own_at, mark_at = np.searchsorted(to_own, every), np.searchsorted(to_mark, every)
-    for b in np.union1d(to_own, to_mark).tolist():
-        part = slice(own_at[b], own_at[b + 1])
+    hit = np.union1d(to_own, to_mark)  # only buckets that this slice has something for
+    own_at = np.stack([np.searchsorted(to_own, hit), np.searchsorted(to_own, hit, "right")])
+    mark_at = np.stack([np.searchsorted(to_mark, hit), np.searchsorted(to_mark, hit, "right")])
+    for k, b in enumerate(hit.tolist()):
+        part = slice(own_at[0, k], own_at[1, k])
         at = breaks((of[part], 0)) if part.start < part.stop else np.zeros(0, np.int64)
         counts = np.diff(np.append(at, part.stop - part.start)).astype(np.uint32)
         out.append(
-            (b, of[part][at].tobytes(), counts.tobytes(), own[part].tobytes(), marks[mark_at[b] : mark_at[b + 1]].tobytes(), None)
+            (b, of[part][at].tobytes(), counts.tobytes(), own[part].tobytes(), marks[mark_at[0, k] : mark_at[1, k]].tobytes(), None)
         )
     out.append((int(info[0, 0]) % buckets, None, None, None, None, info.tobytes()))
     kinds = [pa.int32(), *[pa.binary()] * 5]
@@ -145,9 +146,14 @@ def count_shared(groups: int):
         group, told = (
             (mixed(x.astype(np.uint64)) % np.uint64(groups)).astype(np.int64) for x in (ids, info[0])
         )
+        order, order_told = np.argsort(group, kind="stable"), np.argsort(told, kind="stable")
+        group, ids, m = group[order], ids[order], m[order]
+        told, info = told[order_told], info[:, order_told]
+        hit = np.union1d(group, told)
+        cuts = [np.searchsorted(x, hit, side) for x in (group, told) for side in ("left", "right")]
         out = [
-            (g, ids[group == g].tobytes(), m[group == g].tobytes(), info[:, told == g].tobytes())
-            for g in np.union1d(group, told).tolist()
+            (g, ids[a:b].tobytes(), m[a:b].tobytes(), info[:, c:d].tobytes())
+            for g, a, b, c, d in zip(hit.tolist(), *cuts)
         ]
         names, kinds = ["part", "docs", "m", "info"], [pa.int32(), *[pa.binary()] * 3]
         return pa.table({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate(zip(names, kinds))})
