@@ -10,9 +10,11 @@
 4. mixing: documents are taken (up to twice) in the proportions of the source weights.
 5. sharding: the mix is dealt to 40 shards in uniformly random order.
 
-Null texts score 0, link with nothing, have no hits and size 0, so the mix leaves them out.
-SQL cannot express the stages, so there is no ``ORACLE_SQL``. The tests compare the operators, and
-of the stages here the second, with brute force; the chain of stages is not tested.
+Null texts score 0, link with nothing, have no hits and size 0, so the mix leaves them out. Rows
+with a null doc_id pass the second stage; of repeated rows of a document one stays. Empty tables give
+no rows; without labels of both kinds no document is toxic. SQL cannot express the stages (a trained
+network, a drawn matrix), so there is no ``ORACLE_SQL``: ``tests/llm/test_chain.py`` runs the stages in
+turn and compares each with brute force on its own input.
 """
 
 from __future__ import annotations
