@@ -2,12 +2,14 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from edges import SCHEMA, edge_docs, texts_of, words
+from turnloom.llm.labelled_pages import LAYOUTS
 from turnloom.llm import html_extract as H, resampling as R, toxicity as X
 from turnloom.llm.common import table
 
@@ -206,7 +208,55 @@ def test_marginals_are_exact():
     assert got == pytest.approx(on / total)
 
 
-def test_held_out_layouts_and_given_pages(spark, sf_dir):
+def right_runs(model, pages):
+    """Of each run of text: whether its label is found."""
+    marginal, _ = model.marginals(H.Forest.of(pages))
+    truth = np.array([m for p in pages for m in p.marked])
+    runs = np.array([t is not None for p in pages for t in p.text])
+    return ((marginal > 0.5) == truth)[runs]
+
+
+def test_held_out_layouts():
+    """Each layout by a model that was trained on the pages of other layouts only, so without
+    its names: 0.84 of the runs of text come out right."""
+    train, test, k = H.labelled_pages(4), H.labelled_pages(4, seed=99), len(LAYOUTS)
+    right = []
+    for fold in range(5):
+        model = H.TreeModel.trained([H.read_page(p) for i, p in enumerate(train) if i % k % 5 != fold])
+        right.append(right_runs(model, [H.read_page(p) for i, p in enumerate(test) if i % k % 5 == fold]))
+    assert np.concatenate(right).mean() > 0.8
+
+
+LONG = "It rained for three days and the river rose over its banks."
+PLAIN_PAGES = [
+    (f"<div><a href=/>Home</a> <a href=/n>News</a></div><div><h1>Rain</h1><p>{LONG}</p></div><div>&copy; 2024 site</div>", f"Rain\n{LONG}"),
+    (f"<nav><a href=/>x</a></nav><article><h1>Rain</h1><p>{LONG}</p></article><ol class=commentlist><li>{LONG}</li></ol>", f"Rain\n{LONG}"),
+    (f"<ul id=topMenu><li>One<li>Two</ul><div class=postBody><p>{LONG}</p></div><div class=readercomments><p>{LONG}</p></div>", LONG),
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize("source, want", PLAIN_PAGES)
+def test_pages_without_names_and_joined_names(source, want):
+    assert H.main_texts(H.trained_model(), [f"<html><body>{source}</body></html>"]) == [want]
+
+
+DEEP_PAGES = [
+    "<div>" * 20000 + "x",
+    "<td><table>" + "<div>" * 20000 + "<td></td>" * 20000 + "x",
+    "<template>" + "<div>" * 20000 + "</p>" * 20000 + "</template>x",
+    "<svg>" + "<style>" * 20000 + "</svg>x",
+]
+
+
+@pytest.mark.parametrize("source", DEEP_PAGES)
+def test_deep_pages_are_read_in_linear_time(source):
+    start = time.perf_counter()
+    assert [t for t in H.read_page(source).text if t is not None] == ["x"]
+    assert time.perf_counter() - start < 5
+
+
+def test_other_fillings_and_given_pages(spark, sf_dir):
     model = H.trained_model()
     pages = [H.read_page(p) for p in H.labelled_pages(2, seed=99)]
     marginal, _ = model.marginals(H.Forest.of(pages))

@@ -11,8 +11,10 @@ marginal exceeds one half are the main text.
 All pages of a batch are one forest: messages of one depth are computed together. A map over
 whole pages, without a shuffle; only the weights are sent.
 
-Defined results: a null or empty page, and one without content, gives an empty text; broken
-markup is read as far as it goes (unclosed elements end with their parent, a head also before
+Reading takes time in proportion to the page, however deep its elements lie.
+
+Defined results: a null or empty page, and one without content, gives an empty text; very long
+pages are read whole, one at a time; broken markup is read as far as it goes (unclosed elements end with their parent, a head also before
 what cannot stand in it, a button, select or drawing before a part of the page; an unfinished
 tag at the end is dropped, a bare "<" is text); repeated rows give equal results; an empty table
 gives no rows; other columns stay.
@@ -24,6 +26,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,9 @@ from turnloom.llm.common import ship, table
 from turnloom.llm.labelled_pages import labelled_pages
 
 COPIES = 6
-STEPS = 250
+STEPS = 600
 RATE = 0.1
-DECAY = 0.002
+DECAY = 0.0005
 BATCH_CHARS = 2_000_000
 
 TOKEN = re.compile(
@@ -45,7 +48,7 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-PART = re.compile(r"[a-z]+")
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Elements by their part in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -85,15 +88,25 @@ HINTS = {
     "share": "share social sharing follow",
     "field": "form search login signup",
 }
+AFFIX = 4  # letters that a hint has at least, to count as part of a longer word
 KIND_OF = {tag: kind for kind, tags in KINDS.items() for tag in tags.split()}
 HINT_OF = {word: hint for hint, words in HINTS.items() for word in words.split()}
-ENDS_ITSELF = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th"}
-STOPS = {"ul", "ol", "dl", "table", "body", "html", "menu"}
+ENDS_ITSELF = {
+    "li": ("li",),
+    "dt": ("dt", "dd"),
+    "dd": ("dt", "dd"),
+    "tr": ("tr", "td", "th"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+}
+STOPS = ("ul", "ol", "dl", "table", "body", "html", "menu")
+RIGHTS = re.compile(r"©|\(c\)|copyright|rights reserved", re.IGNORECASE)
 
 KIND_LIST = [*KINDS, "text"]
 FEATURES = [
     "one", *(f"kind {k}" for k in KIND_LIST), *(f"in {k}" for k in KINDS), *(f"hint {h}" for h in HINTS),
     "words 1", "words 2", "words 5", "words 10", "words 20", "words 40", "all links", "some links", "stop",
+    "rights",
 ]
 PLACE = {name: k for k, name in enumerate(FEATURES)}
 
@@ -117,51 +130,92 @@ class Page:
         return len(self.parent) - 1
 
 
-def ends_skipped(skipped: list[str], tag: str, above: list[str]) -> bool:
+class Open:
+    """Names of open elements, outermost first, and the places of each name among them."""
+
+    def __init__(self, names: list[str] | None = None) -> None:
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+        for name in names or []:
+            self.push(name)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def push(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def cut(self, depth: int) -> None:
+        for name in self.names[depth:]:
+            self.places[name].pop()
+        del self.names[depth:]
+
+    def last(self, *names: str) -> int:
+        """The innermost place of any of ``names``, -1 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def ended_by(self, tag: str) -> int:
+        """The place of the item or cell that the start of ``tag`` ends, -1 if there is none."""
+        ended = self.last(*ENDS_ITSELF.get(tag, ()))
+        return ended if ended > self.last(*STOPS) else -1
+
+
+@lru_cache(maxsize=100_000)
+def hint_of(word: str) -> str | None:
+    """The hint of ``word``; a longer word has that of its end, else of its start."""
+    parts = [word, *(word[k:] for k in range(1, len(word) - AFFIX + 1))]
+    parts += [word[:k] for k in range(len(word) - 1, AFFIX - 1, -1)]
+    return next((HINT_OF[part] for part in parts if part in HINT_OF), None)
+
+
+def ends_skipped(skipped: Open, tag: str, above: Open) -> bool:
     """Whether the start of ``tag`` ends the first of ``skipped``; ``above`` are the elements
     that it stands in."""
-    outer = skipped[0]
-    if tag == "body" or (skipped == ["head"] and tag not in HEAD_PARTS):
+    outer = skipped.names[0]
+    if tag == "body" or (skipped.names == ["head"] and tag not in HEAD_PARTS):
         return True
-    if "template" in skipped:
+    if skipped.last("template") >= 0:
         return False
-    if outer in ("button", "select") or outer in DRAWINGS and not INSETS & set(skipped):
+    drawn = outer in DRAWINGS and skipped.last(*INSETS) < 0
+    if outer in ("button", "select") or drawn:
         if tag in PAGE_PARTS or tag == outer and outer not in DRAWINGS:
             return True
-    if outer in DRAWINGS and tag in NOT_DRAWN and not INSETS & set(skipped):
+    if drawn and tag in NOT_DRAWN:
         return True
-    if skipped == ["head", "noscript"] and tag in PAGE_PARTS:
+    if skipped.names == ["head", "noscript"] and tag in PAGE_PARTS:
         return True
     # The next item or cell ends the one that the skipped element stands in.
-    ended = ENDS_ITSELF.get(tag, "").split()
-    if ended and not any(t in STOPS or t in ended for t in skipped):
-        for name in reversed(above):
-            if name in ended or name in STOPS:
-                return name in ended
+    if tag in ENDS_ITSELF and skipped.last(*STOPS, *ENDS_ITSELF[tag]) < 0:
+        return above.ended_by(tag) >= 0
     return False
 
 
 def read_page(source: str | None) -> Page:
     """The tree of block elements and runs of text; decoded, white space made single."""
     page = Page()
-    stack = [(page.add(-1, "root", ["one", "kind root"], None, 0), "")]
+    nodes = [page.add(-1, "root", ["one", "kind root"], None, 0)]  # of the elements in ``stack``
+    stack = Open([""])
     run: list[str] = []
     linked = 0  # characters of the run inside links
     link_depth = 0
-    skipped: list[str] = []  # the skipped element and what is open in it
+    skipped = Open()  # the skipped element and what is open in it
+    unclosed: set[str] = set()  # raw elements without an end in the rest of the page
 
     def flush() -> None:
         nonlocal linked
         words = entities.unescape("".join(run)).split()
         if words:
             text = " ".join(words)
-            top = stack[-1][0]
+            top = nodes[-1]
             found = ["one", "kind text", f"in {page.kind[top]}"]
             found += [f"words {n}" for n in (1, 2, 5, 10, 20, 40) if len(words) >= n]
             if linked:
                 found.append("all links" if linked * 10 >= 8 * len(text) else "some links")
             if text[-1] in ".!?:;\"'":
                 found.append("stop")
+            if RIGHTS.search(text):
+                found.append("rights")
             page.add(top, "text", found, text, page.marked[top])
         run.clear()
         linked = 0
@@ -169,7 +223,8 @@ def read_page(source: str | None) -> Page:
     def pop_to(depth: int) -> None:
         nonlocal link_depth
         flush()
-        del stack[depth:]
+        stack.cut(depth)
+        del nodes[depth:]
         if link_depth > len(stack):
             link_depth = 0
 
@@ -179,13 +234,13 @@ def read_page(source: str | None) -> Page:
         text, tag = found["text"], (found["tag"] or "").lower()
         if skipped:
             if text is not None:
-                ended = skipped == ["head"] and not text.isspace()
+                ended = skipped.names == ["head"] and not text.isspace()
             elif found["close"]:
-                ended = tag not in skipped and any(name == tag for _, name in stack)
+                ended = skipped.last(tag) < 0 and stack.last(tag) >= 0
             else:
-                ended = bool(tag) and ends_skipped(skipped, tag, [name for _, name in stack])
+                ended = bool(tag) and ends_skipped(skipped, tag, stack)
             if ended:
-                skipped.clear()
+                skipped.cut(0)
         if text is not None:
             if not skipped:
                 run.append(text)
@@ -193,44 +248,44 @@ def read_page(source: str | None) -> Page:
         elif not tag:
             continue
         elif tag in RAW and not found["close"]:
-            end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(source, at)
             # In a drawing they may be empty or unclosed elements like others.
-            if not DRAWINGS.intersection(skipped):
-                at = len(source) if end is None else end.start()
-            elif end is not None and not found["rest"].endswith("/"):
-                at = end.start()
+            drawn = skipped.last(*DRAWINGS) >= 0
+            if tag not in unclosed and not (drawn and found["rest"].endswith("/")):
+                end = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(source, at)
+                if end is not None:
+                    at = end.start()
+                else:
+                    unclosed.add(tag)
+            if tag in unclosed and not drawn:
+                at = len(source)
         elif skipped:
             if found["close"]:
-                if tag in skipped:
-                    del skipped[len(skipped) - 1 - skipped[::-1].index(tag) :]
+                if skipped.last(tag) >= 0:
+                    skipped.cut(skipped.last(tag))
             elif (tag in KIND_OF or tag in SKIPPED or tag in INSETS) and not found["rest"].endswith("/"):
-                skipped.append(tag)
+                skipped.push(tag)
         elif found["close"]:
             if tag in KIND_OF:
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == tag), 0)
-                if depth:
-                    pop_to(depth)
+                if stack.last(tag) > 0:
+                    pop_to(stack.last(tag))
             elif tag == "a":
                 link_depth = 0
         elif tag in SKIPPED:
             if not found["rest"].endswith("/"):
-                skipped.append(tag)
+                skipped.push(tag)
         elif tag in KIND_OF:
-            if stack[-1][1] == "p":
+            if stack.names[-1] == "p":
                 pop_to(len(stack) - 1)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][1] in ENDS_ITSELF.get(tag, "").split():
-                    pop_to(k)
-                    break
-                if stack[k][1] in STOPS:
-                    break
+            if tag in ENDS_ITSELF and stack.ended_by(tag) > 0:
+                pop_to(stack.ended_by(tag))
             flush()
-            top, kind, rest = stack[-1][0], KIND_OF[tag], found["rest"]
-            names = " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower() if rest else ""
-            hints = {f"hint {HINT_OF[w]}" for w in PART.findall(names) if w in HINT_OF}
+            top, kind, rest = nodes[-1], KIND_OF[tag], found["rest"]
+            names = " ".join(a or b or c for a, b, c in NAMED.findall(rest)) if rest else ""
+            hints = {f"hint {hint_of(w.lower())}" for w in PART.findall(names)} - {"hint None"}
             marked = 0 if "data-side" in rest else 1 if "data-main" in rest else page.marked[top]
             features = ["one", f"kind {kind}", f"in {page.kind[top]}", *sorted(hints)]
-            stack.append((page.add(top, kind, features, None, marked), tag))
+            nodes.append(page.add(top, kind, features, None, marked))
+            stack.push(tag)
         elif tag == "a":
             link_depth = len(stack)
         elif tag in VOID:
@@ -346,10 +401,10 @@ def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
         own = TreeModel()
         own.node, own.edge = weights
         for batch in batches:
-            sources, texts, part, size = batch.column("html").to_pylist(), [], [], 0
-            for source in sources:
-                part.append(source)
-                size += len(source or "")
+            texts, part, size = [], [], 0
+            for cell in batch.column("html"):
+                part.append(cell.as_py())
+                size += len(part[-1] or "")
                 if size >= BATCH_CHARS:
                     texts += main_texts(own, part)
                     part, size = [], 0

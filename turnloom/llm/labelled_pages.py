@@ -25,6 +25,13 @@ LAYOUTS = (
     f"<html><body>{NAV}<article data-main><header><h1>{{h}}</h1></header><div class=advert data-side><p>{{p}}</p></div><p>{{p}}</p><ol><li>{{l}}</li><li>{{p}}</li></ol><figure><figcaption>{{s}}</figcaption></figure></article><div class=sponsored><p>{{p}}</p></div>{FOOT}</body></html>",
     "<html><body><p data-main>{p}</p><p data-main>{p}</p><p data-main>{s}</p></body></html>",
     "<html><body><div class=notice>{p}</div><div class=article-text data-main><p>{p}</p><p>{p}</p></div><div class=login><form><p>{s}</p><select><option>{h}</option></select></form></div></body></html>",
+    "<html><body><div>{k} {k} {k}</div><div data-main><h1>{h}</h1><p>{p}</p><p>{p}</p></div><div>&copy; {s}</div></body></html>",
+    "<html><body><div><ul><li>{k}</li><li>{k}</li></ul></div><div><div data-main><h1>{h}</h1><p>{s}</p><p>{p}</p></div><div><h3>{h}</h3>{k}<br>{k}</div></div><div><p>Copyright {s}</p></div></body></html>",
+    "<html><body><div>{k} {k}</div><div data-main><h2>{h}</h2><div>{p}</div><div>{p}</div><ul><li>{l}</li><li>{l}</li></ul></div><div>{k} {k} &copy; {s}</div></body></html>",
+    f"<html><body>{NAV}<article data-main><h1>{{h}}</h1><p>{{p}}</p><p>{{p}}</p></article><ol class=commentlist><li>{{p}}</li><li><p>{{s}}</p></li></ol>{FOOT}</body></html>",
+    f"<html><body><ul id=mainmenu><li>{{k}}</li><li>{{k}}</li></ul><div class=postbody data-main><h1>{{h}}</h1><p>{{p}}</p></div><div id=usercomments><h3>{{h}}</h3><div><p>{{p}}</p></div><div><p>{{p}}</p></div></div><div id=pagefooter><p>{{s}}</p></div></body></html>",
+    "<html><body><div data-main><p>{p}</p><p>{p}</p></div></body></html>",
+    "<html><body><div><div>{k} {k}</div></div><div data-main><p>{p}</p><p>{s}</p></div><div><div>{s} &copy; {h}</div></div></body></html>",
 )
 
 
