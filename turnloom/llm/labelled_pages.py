@@ -32,6 +32,8 @@ LAYOUTS = (
     f"<html><body><ul id=mainmenu><li>{{k}}</li><li>{{k}}</li></ul><div class=postbody data-main><h1>{{h}}</h1><p>{{p}}</p></div><div id=usercomments><h3>{{h}}</h3><div><p>{{p}}</p></div><div><p>{{p}}</p></div></div><div id=pagefooter><p>{{s}}</p></div></body></html>",
     "<html><body><div data-main><p>{p}</p><p>{p}</p></div></body></html>",
     "<html><body><div><div>{k} {k}</div></div><div data-main><p>{p}</p><p>{s}</p></div><div><div>{s} &copy; {h}</div></div></body></html>",
+    "<html><body><ul class=menu><li>{h}</li><li>{h}</li></ul><div id=topbar>{s}</div><div class=story data-main><p>{p}</p><p>{p}</p></div><div class=share>{h}</div><div class=search>{s}</div></body></html>",
+    "<html><body><div class=navigation><ul><li>{s}</li><li>{s}</li></ul></div><article data-main><h1>{h}</h1><p>{p}</p><div class=social data-side>{s}</div><p>{p}</p></article><div class=breadcrumb>{h}</div><div class=subscribe><p>{p}</p></div><div class=legal>{p}</div></body></html>",
 )
 
 
