@@ -534,6 +534,11 @@ FROM scored GROUP BY split""",
 }
 
 ORACLES["streamed_nesting"] = ORACLES["sft_chatml_text"]
+ORACLES["token_budget"] = _with(
+    SPACED_TEXTS,
+    """SELECT conv_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, true AS begins,
+       true AS cut_if_over, true AS fits, true AS plausible FROM texts""",
+)
 ORACLES["pack_sequences"] = _with(
     SPACED_TEXTS,
     r"""SELECT conv_id, CAST(len(regexp_extract_all(text, '\S+')) AS BIGINT) AS n_tokens,

@@ -37,6 +37,7 @@ from turnloom.operators.splits import (
     overlap_audit,
     prefix_split,
 )
+from turnloom.operators.tokens import Tokens, token_budget as cut_to_budget
 from turnloom.plans import preference, sft, training_input
 from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_turns
 from turnloom.schemas import CHAT_PAIRS, SHAREGPT, keyless
@@ -57,6 +58,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = ["conv_id", "pair_idx"]
 EVAL_PREFIX = 40
+TRUE_BUDGET = 256
+# A public vocabulary, read by Spark; a path of the deployment.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PREFIX = 50
 BATCH = 5
 PER_LANG = 20
@@ -362,6 +366,28 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True token counts of each text by a public vocabulary, and what must hold of them and of the
+    cut: the tokens hold every byte once, and the cut is the beginning of the text, within the budget.
+
+    A cut that ends in white space may come out one token longer when it is encoded by itself.
+    """
+    texts = sft.texts(views.turns(spark, sf_dir), chatml_spaced())
+    tokens = Tokens(spark, VOCABULARY)
+    cut = cut_to_budget(texts, tokens, TRUE_BUDGET)
+    sized = cut.withColumns(
+        {"all": tokens.measured(F.col("text")), "kept": tokens.measured(F.col("cut_text"), TRUE_BUDGET)}
+    )
+    return sized.select(
+        "conv_id",
+        F.col("all")["n_bytes"].alias("n_bytes"),
+        F.startswith("text", "cut_text").alias("begins"),
+        (F.col("over_budget") == (F.col("cut_text") != F.col("text"))).alias("cut_if_over"),
+        (F.col("kept")["n_tokens"] <= TRUE_BUDGET + 1).alias("fits"),
+        F.col("n_tokens").between(F.regexp_count("text", F.lit(r"\S+")), F.col("all")["n_bytes"]).alias("plausible"),
+    )
+
+
 def streamed_nesting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of conversations that were nested from a stream of turns."""
     source, out, checkpoint = (fresh_path(spark, f"stream-{k}") for k in ("turns", "out", "checkpoint"))
@@ -417,4 +443,5 @@ QUERIES: dict[str, Query] = {
     "preference_metrics": preference_metrics,
     "pack_sequences": pack_sequences,
     "streamed_nesting": streamed_nesting,
+    "token_budget": token_budget,
 }
