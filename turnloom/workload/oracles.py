@@ -534,6 +534,22 @@ FROM scored GROUP BY split""",
 }
 
 ORACLES["streamed_nesting"] = ORACLES["sft_chatml_text"]
+# Units by walking over all pairs of families that share a text.
+ORACLES["leak_free_split"] = """
+WITH RECURSIVE held AS (
+  SELECT DISTINCT doc_id // 2 AS family, text FROM documents WHERE text IS NOT NULL
+),
+near AS (SELECT DISTINCT a.family AS a, b.family AS b FROM held a JOIN held b USING (text)),
+reached AS (
+  SELECT a AS family, a AS other FROM near
+  UNION
+  SELECT r.family, n.b FROM reached r JOIN near n ON n.a = r.other
+),
+units AS (SELECT family, min(md5(':' || other)) AS unit FROM reached GROUP BY family)
+SELECT d.doc_id, coalesce(u.unit, md5(':' || (d.doc_id // 2))) AS unit,
+       (SELECT (3 * count(*) + 9) // 10 FROM documents) AS n_eval,
+       CAST(0 AS BIGINT) AS n_key_overlap, CAST(0 AS BIGINT) AS n_text_overlap
+FROM documents d LEFT JOIN units u ON u.family = d.doc_id // 2"""
 ORACLES["token_budget"] = _with(
     SPACED_TEXTS,
     """SELECT conv_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, true AS begins,

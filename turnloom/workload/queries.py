@@ -38,6 +38,7 @@ from turnloom.operators.splits import (
     prefix_split,
 )
 from turnloom.operators.tokens import Tokens, token_budget as cut_to_budget
+from turnloom.operators.units import leak_free_split as split_units_apart, split_units
 from turnloom.plans import preference, sft, training_input
 from turnloom.plans.preference import EXCLUDED_SOURCE, pairs_from_turns
 from turnloom.schemas import CHAT_PAIRS, SHAREGPT, keyless
@@ -366,6 +367,22 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def leak_free_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit and side of each document, where a family of two documents is a key; and the three
+    counts that must be exact for all of them."""
+    docs = views.documents(spark, sf_dir).select("doc_id", F.expr("doc_id div 2").alias("family"), "text")
+    split = _stored(split_units_apart(docs, ["family"]))
+    audit = overlap_audit(split, "family").select(F.struct("*").alias("audit")).scalar()
+    united = split_units(split, ["family"], "text")
+    return united.select("doc_id", "unit", audit.alias("audit")).select(
+        "doc_id",
+        "unit",
+        F.col("audit")["n_eval"].alias("n_eval"),
+        F.col("audit")["n_key_overlap"].alias("n_key_overlap"),
+        F.col("audit")["n_text_overlap"].alias("n_text_overlap"),
+    )
+
+
 def token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True token counts of each text by a public vocabulary, and what must hold of them and of the
     cut: the tokens hold every byte once, and the cut is the beginning of the text, within the budget.
@@ -444,4 +461,5 @@ QUERIES: dict[str, Query] = {
     "pack_sequences": pack_sequences,
     "streamed_nesting": streamed_nesting,
     "token_budget": token_budget,
+    "leak_free_split": leak_free_split,
 }
