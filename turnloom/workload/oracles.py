@@ -534,6 +534,13 @@ FROM scored GROUP BY split""",
 }
 
 ORACLES["streamed_nesting"] = ORACLES["sft_chatml_text"]
+ORACLES["parsed_messages"] = _with(
+    SPACED_TEXTS,
+    """SELECT conv_id, p.pos, p.role, p.text AS content,
+       NOT bool_or(contains(p.role || p.text, '<|im_start|>') OR contains(p.role || p.text, '<|im_end|>'))
+         OVER (PARTITION BY conv_id) AS clear
+FROM pos p JOIN texts USING (conv_id)""",
+)
 # Units by walking over all pairs of families that share a text.
 ORACLES["leak_free_split"] = """
 WITH RECURSIVE held AS (

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from turnloom.functions.parsing import parse_messages
 from turnloom.functions.templates import (
     Template,
     chatml_compact,
@@ -383,6 +384,14 @@ def leak_free_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def parsed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read back from the rendered texts."""
+    texts = sft.texts(views.turns(spark, sf_dir), chatml_spaced())
+    parsed = texts.select("conv_id", parse_messages(F.col("text")).alias("parsed"))
+    found = parsed.select("conv_id", "parsed.clear", F.posexplode("parsed.messages").alias("pos", "m"))
+    return found.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content", "clear")
+
+
 def token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True token counts of each text by a public vocabulary, and what must hold of them and of the
     cut: the tokens hold every byte once, and the cut is the beginning of the text, within the budget.
@@ -460,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "preference_metrics": preference_metrics,
     "pack_sequences": pack_sequences,
     "streamed_nesting": streamed_nesting,
+    "parsed_messages": parsed_messages,
     "token_budget": token_budget,
     "leak_free_split": leak_free_split,
 }
