@@ -3,6 +3,7 @@
 import math
 import random
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,25 @@ def test_network_learns_and_sees_whole_texts(net):
     assert scores[0] < 0.5 < scores[1] and scores[2:].tolist() == [0, 0, 0]
 
 
+def test_training_runs_in_a_task(spark, monkeypatch):
+    """The driver holds neither the sample nor what training needs, and its network is the same."""
+    texts, labels = small_net(5)
+    rows = [(i, t, int(y)) for i, (t, y) in enumerate(zip(texts, labels))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(5)
+    used = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    want = X.train(pa.array([texts[i] for i in used]), labels[used])
+
+    def refused(*_):
+        raise AssertionError("trained on the driver")
+
+    monkeypatch.setattr(X, "train", refused)
+    got = X.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert got.p.keys() == want.p.keys()
+    for name, value in want.p.items():
+        assert np.allclose(got.p[name], value, atol=1e-4)
+    assert X.fit(df, df.filter("toxic = 0")) is None and X.fit(df.limit(0), df) is None
+
+
 def test_gradients(net):
     texts, labels = small_net(4)
     tokens = X.tokens_of(pa.array(texts[:6]))

@@ -15,9 +15,9 @@ embeddings). In each step the word input of a share ``DROP`` of the words is bla
 characters have to carry words that training has not seen, and embeddings decay.
 The sample is bounded by ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` labelled rows and ``SAMPLE_BYTES``
 bytes of text of each kind, in the order of a hash among the rows of at most ``SAMPLE_CHARS``
-characters whose crc32(doc_id) mod 5 is not 0; it is all that reaches the driver, and it is
-tokenised there in slices. Scoring is a map over whole texts, without a shuffle; a text of any
-length is scored whole, in blocks of windows.
+characters whose crc32(doc_id) mod 5 is not 0; one task tokenises it in slices and trains, and
+only the network reaches the driver. Scoring is a map over whole texts, without a shuffle; a text
+of any length is scored whole, in blocks of windows.
 
 Defined results: a null or empty text, or one without a word, scores 0; without labels of
 both kinds every score is 0; repeated rows score alike; a label row without a document is not
@@ -27,6 +27,7 @@ is learnt from; an empty table gives no rows; other columns stay.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -426,11 +427,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network | N
     )
     so_far = F.sum(F.octet_length("text")).over(W.partitionBy("_y").orderBy(*order))
     sample = found.withColumn("_bytes", so_far).filter(F.col("_bytes") <= SAMPLE_BYTES)
-    rows = sample.select("doc_id", "text", "_y").orderBy("doc_id").toArrow()
+    rows = sample.select("doc_id", "text", "_y").coalesce(1).sortWithinPartitions("doc_id")
+    ship(docs.sparkSession)
+    found = rows.mapInArrow(_trained, "net binary").toArrow().column("net").to_pylist()
+    return pickle.loads(found[0]) if found else None
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The network of all rows of the sample; nothing if a class has none."""
+    parts = [batch for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    rows = pa.Table.from_batches(parts)
     y = rows.column("_y").to_numpy().astype(np.int64)
-    if not len(y) or y.min() == y.max():
-        return None
-    return train(rows.column("text").combine_chunks(), y)
+    if y.min() < y.max():
+        net = train(rows.column("text").combine_chunks(), y)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
