@@ -117,6 +117,22 @@ def test_scores_equal_a_plain_tree(spark, by):
     assert {1, 2, 3} <= {len(s) for s in kept}
 
 
+def test_no_context_is_left_out(spark):
+    """The default tree is the one of all contexts, those that occur once among them."""
+    rows = [(d, t) for d, t in corpus(7, 250)] + [(1000, "p1 p2 p3 p4 p5"), (1001, "p1 p2 p3 p4 p5"), (1002, "q1 q2 q3 q4 q5")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = S.score_documents(docs, S.F.lit(False)).collect()
+    kept = {r["doc_id"]: r for r in got}
+    assert kept[1000]["context_words"] > 0 == kept[1002]["context_words"]
+    by = S.Settings(min_count=1, min_share=0.0)
+    learnt = [(d, t) for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    same = spark.createDataFrame(learnt, "doc_id long, text string")
+    found = compare(S.score_documents(same).collect(), learnt, by)
+    seen = Counter(tuple(w[i : i + k]) for _, t in learnt for w in [tokens(t)[:-1]] for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    assert min(seen[s] for s in found) == 2
+    assert S.Totals(10**13, 10**9, 12, [], S.Settings()).least == 2
+
+
 def test_edge_rows(spark):
     docs = edge_docs(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]

@@ -1,8 +1,11 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 A state is a context of up to ``max_depth`` preceding words of the same text; the root is the
-empty one (names in code are fields of ``Settings``). The root gives a token (c + 1) / (N + V + 1). A context of at least ``min_share`` of
-the training tokens (and ``min_count``) is a candidate. It is retained if its own distribution
+empty one (names in code are fields of ``Settings``). The root gives a token (c + 1) / (N + V + 1).
+Every context that occurs twice in the training texts is a candidate, in a table of any size: one
+that occurs once has no other occurrence to be predicted from, gains exactly nothing, and could
+not be retained. (``min_count`` and ``min_share``, a share of the training tokens, can ask for
+more; they are off.) A candidate is retained if its own distribution
 tells more than that of its longest retained proper suffix: each training occurrence is
 predicted from the others (count less one, smoothed by the suffix state), and the mean gain
 must be ``gain`` nats or more. A retained state s predicts
@@ -58,8 +61,8 @@ class Settings:
     """What the tree is grown by; sent to the tasks with each pass."""
 
     max_depth: int = 3
-    min_count: int = 4
-    min_share: float = 2e-7
+    min_count: int = 2
+    min_share: float = 0.0
     a: float = 30.0
     gain: float = 0.5
     hot: float = 1e-6
