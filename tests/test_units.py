@@ -51,6 +51,23 @@ def test_units_equal_a_plain_union(spark, monkeypatch, hot):
     assert sorted((r["key"], str(r["text"]), r["more"]) for r in got) == sorted((k, str(t), want[k]) for k, t in rows)
 
 
+def test_rounds_send_no_table_to_the_driver(spark, monkeypatch):
+    """Also where Spark would find the tables of a round small enough to broadcast."""
+    rows = [(k, t) for part in graphs().values() for k, t in part]
+    df = spark.createDataFrame([(k, t, "m") for k, t in rows], SCHEMA).repartition(3)
+    plans, plain = [], type(df).checkpoint
+
+    def checkpoint(self, *args):
+        done = plain(self, *args)
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return done
+
+    monkeypatch.setattr(type(df), "checkpoint", checkpoint)
+    U.key_units(df, ["key"], "text")
+    assert sum("SortMergeJoin" in p for p in plans) > 4
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_plans_are_the_best_possible():
     rng = random.Random(3)
     for _ in range(300):

@@ -36,7 +36,7 @@ def key_units(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     # A text of one key joins nothing.
     edges = counts.filter("t is not null").select(F.col("key").alias("k"), "t")
     texts = edges.groupBy("t").agg(F.count("*").alias("n")).filter("n > 1")
-    labels = _least_labels(edges.join(texts, "t").checkpoint())
+    labels = _least_labels(edges.join(texts.hint("merge"), "t").checkpoint())
     whole = counts.groupBy("key").agg(F.sum("rows").alias("n"))
     known = counted_broadcast(labels.withColumnRenamed("k", "key"))
     return whole.join(known, "key", "left").select(
@@ -66,7 +66,8 @@ def _least_labels(edges: DataFrame) -> DataFrame:
 
     Every text takes the least label of its keys, every key the least of its texts, then a
     label is replaced by the label of the key that it names, until nothing changes. A text with very many
-    keys is aggregated on the map side, and its label is broadcast rather than joined.
+    keys is aggregated on the map side, and its label is broadcast rather than joined. All else is
+    merged: a table small enough for Spark to broadcast would pass through the driver in every round.
     """
     hot = edges.filter(f"n >= {HOT_EDGES}")
     parts = [edges] if hot.isEmpty() else [edges.filter(f"n < {HOT_EDGES}"), hot]
@@ -74,14 +75,14 @@ def _least_labels(edges: DataFrame) -> DataFrame:
     while True:
         sent = []
         for k, part in enumerate(parts):
-            least = part.join(labels, "k").groupBy("t").agg(F.min("label").alias("label"))
-            sent.append(part.select("k", "t").join(counted_broadcast(least) if k else least, "t"))
+            least = part.join(labels.hint("merge"), "k").groupBy("t").agg(F.min("label").alias("label"))
+            sent.append(part.select("k", "t").join(counted_broadcast(least) if k else least.hint("merge"), "t"))
         known = sent[0] if len(sent) == 1 else sent[0].unionByName(sent[1])
         least = known.groupBy("k").agg(F.min("label").alias("label")).checkpoint()
         named = least.select(F.col("k").alias("label"), F.col("label").alias("next"))
         old = labels.withColumnRenamed("label", "old")
-        labels = least.join(named, "label").select("k", F.least("label", "next").alias("label")).checkpoint()
-        if labels.join(old, "k").filter("label != old").isEmpty():
+        labels = least.join(named.hint("merge"), "label").select("k", F.least("label", "next").alias("label")).checkpoint()
+        if labels.join(old.hint("merge"), "k").filter("label != old").isEmpty():
             return labels
 
 
@@ -185,5 +186,5 @@ def leak_free_split(
     picked = hash_cutoff(sized, ["unit"], seed, F.col("_want"), "_eval", ["size", "_want"])
     taken = picked.filter("_eval").select("unit")
     # Keys are narrow; of a unit with very many keys adaptive execution splits that side.
-    found = members.join(taken, "unit", "left_semi").select(F.col("key").alias("_key"), F.lit("eval").alias("_side"))
+    found = members.join(taken.hint("merge"), "unit", "left_semi").select(F.col("key").alias("_key"), F.lit("eval").alias("_side"))
     return _with_units(df.drop(split), keys, found, {split: F.coalesce("_side", F.lit("train"))})
